@@ -1,8 +1,8 @@
 """Batch-into-table merges, as plain functions of the table and the batch.
 
-A merge splits the table into rows whose key the batch touches and rows it does not. When the
-batch is small Catalyst broadcasts its keys, so the table is filtered where it lies and only
-the touched rows move.
+Every merge reads the table once as the left side of an outer join with the batch. When the batch
+is small Catalyst broadcasts it, so the table is merged where it lies; the only other read of
+the table takes its key columns.
 """
 
 from __future__ import annotations
@@ -13,34 +13,53 @@ from pyspark.sql import functions as F
 from accrual.operators.latest import latest_per_key
 
 
-def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.dropna(subset=keys)
+def _newer_first(order: list[str]) -> list[Column]:
+    return [F.col(c).desc() for c in order]
+
+
+def _absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key the target lacks. The target's keys are first cut down to those of ``rows``,
+    so a small batch stays the small side of both joins."""
+    found = target.select(*keys).join(rows.select(*keys).distinct(), keys, "left_semi")
+    return rows.join(found, keys, "left_anti")
 
 
 def merge_upsert(
-    target: DataFrame, batch: DataFrame, keys: list[str], newest_first: list[Column]
+    target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]
 ) -> DataFrame:
-    """Target with the batch applied: newest record per key wins, on either side.
+    """Target with the batch applied: the record that is newest by ``order`` wins per key.
 
-    ``newest_first`` orders records of one key; both frames carry its columns. Duplicate keys
-    inside the batch are fine, records without a key are dropped, applying a batch again
-    changes nothing, and an older record never replaces a newer one.
+    ``target`` holds one row per key, both frames carry the ``order`` columns, and their last one
+    should break ties. Duplicate keys inside the batch are fine, records without a key are
+    dropped, applying a batch again changes nothing, and an older record never replaces a newer
+    one.
     """
-    incoming = latest_per_key(_with_keys(batch, keys), keys, newest_first)
-    touched = target.join(incoming.select(*keys), keys, "left_semi")
-    untouched = target.join(incoming.select(*keys), keys, "left_anti")
-    winners = latest_per_key(
-        touched.unionByName(incoming.select(*target.columns)), keys, newest_first
+    columns = target.columns
+    incoming = latest_per_key(
+        batch.select(*columns).dropna(subset=keys), keys, _newer_first(order)
+    )
+    renamed = incoming.select(*keys, F.struct(*columns).alias("_new"))
+    # Struct comparison puts NULL parts first, like the sort order above.
+    wins = F.coalesce(
+        F.struct(*[F.col("_new")[c] for c in order]) >= F.struct(*order), F.lit(False)
+    )
+    merged = target.join(renamed, keys, "left").select(
+        *[
+            F.col(c) if c in keys else F.when(wins, F.col("_new")[c]).otherwise(F.col(c)).alias(c)
+            for c in columns
+        ]
     )
-    return untouched.unionByName(winners)
+    return merged.unionByName(_absent_from(incoming, target, keys))
 
 
 def insert_absent(
-    target: DataFrame, batch: DataFrame, keys: list[str], first: list[Column]
+    target: DataFrame, batch: DataFrame, keys: list[str], first: list[str]
 ) -> DataFrame:
-    """Target plus batch rows whose key it lacks; ``first`` picks one row per new key."""
-    fresh = _with_keys(batch, keys).join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(latest_per_key(fresh, keys, first).select(*target.columns))
+    """Target plus batch rows whose key it lacks; of several, the first by ``first``."""
+    candidates = latest_per_key(
+        batch.select(*target.columns).dropna(subset=keys), keys, [F.col(c).asc() for c in first]
+    )
+    return target.unionByName(_absent_from(candidates, target, keys))
 
 
 def replace_children(
@@ -58,27 +77,29 @@ def replace_children(
     Only children of a parent's newest version survive, in whatever order and however many
     pieces they arrive, and a repeated delivery changes nothing.
     """
+
+    def newest_version(rows: DataFrame, name: str) -> DataFrame:
+        return rows.dropna(subset=key).groupBy(*key).agg(F.max(version).alias(name))
+
     delivered = (
-        parents.select(*key, version)
-        .unionByName(children.select(*key, version))
-        .dropna(subset=key)
-        .groupBy(*key)
-        .agg(F.max(version).alias(version))
+        newest_version(parents, "_of_parents")
+        .join(newest_version(children, "_of_children"), key, "full")
+        .select(*key, F.greatest("_of_parents", "_of_children").alias("_delivered"))
+    )
+    kept = target.join(delivered, key, "left").filter(
+        F.col("_delivered").isNull() | (F.col(version) >= F.col("_delivered"))
     )
-    touched = target.join(delivered.select(*key), key, "left_semi")
-    untouched = target.join(delivered.select(*key), key, "left_anti")
-    newest = (
-        touched.select(*key, version)
-        .unionByName(delivered)
-        .groupBy(*key)
-        .agg(F.max(version).alias(version))
+    stored = newest_version(target.join(delivered.select(*key), key, "left_semi"), "_stored")
+    newest = delivered.join(stored, key, "left").select(
+        *key, F.greatest("_delivered", "_stored").alias(version)
     )
+    identity = [*key, version, ordinal]
     current = (
-        touched.unionByName(children.select(*target.columns))
+        children.select(*target.columns)
         .join(newest, [*key, version], "left_semi")
-        .dropDuplicates([*key, version, ordinal])
+        .dropDuplicates(identity)
     )
-    return untouched.unionByName(current.select(*target.columns))
+    return kept.select(*target.columns).unionByName(_absent_from(current, target, identity))
 
 
 def upsert_raw(target: DataFrame, landed: DataFrame) -> DataFrame:
@@ -87,13 +108,8 @@ def upsert_raw(target: DataFrame, landed: DataFrame) -> DataFrame:
 
     ``target`` and ``landed`` carry the columns of ``land_raw``.
     """
-    newest_first = [
-        F.col("timestamp").desc(),
-        F.col("partition").desc(),
-        F.col("offset").desc(),
-        F.col("payload_hash").desc(),
-    ]
-    merged = merge_upsert(target, landed, ["nct_id"], newest_first)
+    order = ["timestamp", "partition", "offset", "payload_hash"]
+    merged = merge_upsert(target, landed, ["nct_id"], order)
     first_seen = target.select("nct_id", F.col("received_at").alias("_first_received"))
     return (
         merged.join(first_seen, "nct_id", "left")

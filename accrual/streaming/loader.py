@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from accrual.operators.latest import latest_per_key
-from accrual.operators.merge import merge_upsert, replace_children
+from accrual.operators.merge import insert_absent, merge_upsert, replace_children
 from accrual.sources.landing import land_raw
 from accrual.sources.topics import CORRUPT, decode_json, split_bad_records
 
@@ -109,18 +109,21 @@ def _snapshot(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def current_rows(
-    spark: SparkSession, folder: str, keys: list[str], order: list[Column] | None = None
+    spark: SparkSession, folder: str, keys: list[str], first_wins: bool = False
 ) -> DataFrame:
-    """The table as of now: per key the newest record (or the first in ``order``).
+    """The table as of now: the newest record per key.
 
-    The snapshot is only filtered by the changed keys; see ``merge_upsert``.
+    ``first_wins`` keeps the oldest record of a key instead. See ``merge_upsert`` for how the
+    changes meet the snapshot.
     """
-    order = order or newest_first()
     fresh = changes(spark, folder).drop("batch_id")
     base = _snapshot(spark, folder)
     if base is None:
+        order = oldest_first() if first_wins else newest_first()
         return latest_per_key(fresh.dropna(subset=keys), keys, order)
-    return merge_upsert(base, fresh, keys, order)
+    if first_wins:
+        return insert_absent(base, fresh, keys, ARRIVAL)
+    return merge_upsert(base, fresh, keys, ARRIVAL)
 
 
 def current_raw(spark: SparkSession, folder: str) -> DataFrame:
