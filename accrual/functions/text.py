@@ -40,6 +40,10 @@ def any_term(
     ``whole_word`` needs word boundaries. NULL arrays and NULL elements count as no match.
     """
     texts = F.col(texts) if isinstance(texts, str) else texts
+    terms = list(dict.fromkeys(term.lower() for term in terms))
+    if not whole_word:
+        # A text that holds the longer term holds the shorter one inside it too.
+        terms = [t for t in terms if not any(other != t and other in t for other in terms)]
     body = "|".join(re.escape(term) for term in terms)
     pattern = rf"(?i)\b({body})\b" if whole_word else f"(?i)({body})"
     return F.coalesce(F.exists(texts, lambda text: text.rlike(pattern)), F.lit(False))

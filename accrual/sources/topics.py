@@ -98,19 +98,31 @@ def decode_json(
     value = unwrap_envelope("value") if envelope else F.col("value")
     if mode == "FAILFAST":
         parsed = F.from_json(value, schema, {"mode": "FAILFAST"})
-        return topic.withColumn("data", parsed).withColumn(CORRUPT, F.lit(None).cast("string"))
+        return _computed_once(topic, {"data": parsed}).withColumn(
+            CORRUPT, F.lit(None).cast("string")
+        )
     parsed = F.from_json(
         value, f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
     )
-    framed = topic.withColumn("_parsed", parsed)
     bad = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
-    return framed.select(
+    return _computed_once(topic, {"_parsed": parsed}).select(
         *topic.columns,
         F.when(~bad, F.col("_parsed")).alias("data"),
         F.when(bad & F.col("value").isNotNull(), F.col("value")).alias(CORRUPT),
     )
 
 
+def _computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` plus columns that later filters read instead of computing again.
+
+    A filter on a plain projected column is pushed below the projection, with the expression
+    copied into it at every mention; for JSON that means parsing each document several times.
+    Filters on generated columns stay above the generator.
+    """
+    once = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(once)))
+
+
 def split_bad_records(decoded: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """(good, quarantined): bad rows are undecodable or lack a required field of ``data``.
 

@@ -1,0 +1,37 @@
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+
+from accrual.session import build_session  # noqa: E402
+
+TESTDATA = Path(os.environ.get("ACCRUAL_TESTDATA", "/root/testdata"))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "accrual-tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+def rows(df, *columns):
+    """Rows as sorted tuples of the named columns."""
+    chosen = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in chosen.collect()), key=repr)
