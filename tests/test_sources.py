@@ -1,0 +1,118 @@
+import datetime
+import json
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from accrual import schemas
+from accrual.plans.sample import missing_report, share_report, study_metrics
+from accrual.sources import landing, tables, topics
+
+
+def test_topic_files_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, None), ("b", 2, "x")], "id string, n int, s string")
+    topics.write_topic(df, "id", "t", files=f"{tmp_path}/topic")
+    back = topics.read_topic(spark, "t", files=f"{tmp_path}/topic")
+    assert back.columns == ["key", "value", "timestamp", "partition", "offset"]
+    assert rows(back, "key", "value") == [
+        ("a", '{"id":"a","n":1,"s":null}'),
+        ("b", '{"id":"b","n":2,"s":"x"}'),
+    ]
+
+
+@pytest.mark.parametrize(
+    "value, n",
+    [
+        ('{"n": 1}', 1),
+        ('{"value": {"n": 2}}', 2),
+        ('{"value": "{\\"n\\": 3}"}', 3),
+        ("junk", None),
+    ],
+)
+def test_envelope(spark, value, n):
+    df = spark.createDataFrame([("k", value)], "key string, value string")
+    data = topics.decode_json(df, "n int", envelope=True).first()["data"]
+    assert (data and data["n"]) == n
+
+
+def test_hash_ignores_key_order(spark):
+    texts = [('{"b": 1, "a": {"d": [1, 2], "c": null}}',), ('{"a":{"c":null,"d":[1,2]},"b":1}',)]
+    df = spark.createDataFrame([*texts, ('{"b": 2}',), ("junk",)], "v string")
+    hashes = [r[0] for r in df.select(landing.payload_hash("v")).collect()]
+    assert hashes[0] == hashes[1] != hashes[2]
+    assert hashes[3] is None
+    assert df.select(landing.canonical_json("v")).first()[0] == '{"a":{"c":null,"d":[1,2]},"b":1}'
+
+
+def test_landing_needs_an_id(spark):
+    doc = {"protocolSection": {"identificationModule": {"nctId": "N1"}}}
+    data = [
+        ("k", text, datetime.datetime(2024, 1, 1), 0, i)
+        for i, text in enumerate([json.dumps(doc), "{}", "junk"])
+    ]
+    landed = landing.land_raw(spark.createDataFrame(data, schemas.TOPIC))
+    assert rows(landed, "nct_id", "offset") == [("N1", 0)]
+
+
+def test_incremental(spark):
+    df = spark.createDataFrame(
+        [(i, s, d) for i, (s, d) in enumerate([
+            ("COMPLETED", "2024-03-01"), ("COMPLETED", "2024-03-02"), ("COMPLETED", "2024-01-01"),
+            ("RECRUITING", "2024-03-02"), ("COMPLETED", None),
+        ])],
+        "id int, overall_status string, last_update string",
+    )
+    daily = landing.select_incremental(df, "2024-03-02", daily=True)
+    assert rows(daily, "id") == [(0,), (1,)]
+    capped = landing.select_incremental(df, "2024-03-02", daily=False, max_rows=2, order_by=["id"])
+    assert rows(capped, "id") == [(0,), (1,)]
+
+
+def test_tables(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
+    path = f"{tmp_path}/t"
+    tables.refresh_table(df, path)
+    tables.append_table(df, path)
+    assert spark.read.parquet(path).count() == 4
+    tables.refresh_table(df, path, partition_by=["s"])
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_csv_export(spark, tmp_path):
+    df = spark.createDataFrame([(2, ["a", "b"]), (1, None)], "id int, items array<string>")
+    tables.export_csv(df, f"{tmp_path}/c", order_by=["id"])
+    back = tables.load_csv(spark, f"{tmp_path}/c", "id int, items string")
+    assert rows(back) == sorted([(1, None), (2, "a|b")], key=repr)
+
+
+def test_sample_metrics(spark):
+    document = {
+        "protocolSection": {
+            "identificationModule": {"nctId": "N1"},
+            "statusModule": {"overallStatus": "TERMINATED", "whyStopped": ""},
+            "sponsorCollaboratorsModule": {"collaborators": [{"name": "x"}]},
+            "conditionsModule": {"conditions": ["a", "b"], "keywords": []},
+            "eligibilityModule": {"eligibilityCriteria": "abc", "stdAges": ["ADULT"]},
+            "armsInterventionsModule": {"interventions": [{"type": "DRUG"}, {"type": None}]},
+            "contactsLocationsModule": {
+                "locations": [
+                    {"country": "IT", "status": "OPEN", "geoPoint": {"lat": 1.0, "lon": 2.0}},
+                    {"country": "IT", "geoPoint": {"lon": 2.0}},
+                    {"country": ""},
+                ]
+            },
+        }
+    }
+    df = spark.createDataFrame([("k", json.dumps(document)), ("k", "{}")], "key string, value string")
+    metrics = study_metrics(topics.decode_json(df, schemas.STUDY_PROFILE))
+    row = metrics.filter(F.col("nct_id") == "N1").first()
+    assert (row["n_sites"], row["n_countries"], row["sites_with_status"], row["sites_with_geo"]) == (3, 1, 1, 1)
+    assert (row["n_conditions"], row["n_keywords"], row["n_collaborators"]) == (2, 0, 1)
+    assert row["intervention_types"] == ["DRUG"] and row["criteria_length"] == 3
+    assert row["has_mesh"] is False
+    missing = {r["column"]: r["missing"] for r in missing_report(metrics).collect()}
+    assert missing["why_stopped"] == 2 and missing["overall_status"] == 1
+    assert missing["criteria_length"] == 0
+    shares = rows(share_report(metrics).filter("column = 'overall_status'"), "value", "n", "pct")
+    assert shares == sorted([("TERMINATED", 1, 50.0), (None, 1, 50.0)], key=repr)
