@@ -4,26 +4,60 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000
+MAX_HOT_KEYS = 256
+SKETCH_ITEMS = 2048
+SKETCH_GROUPS = 256
+MIN_HOT_ROWS = 100_000
 SALTS = 64
+_HASH = "_key_hash"
+
+
+def _key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*keys)
 
 
 def hot_keys(
-    counts: DataFrame, keys: list[str], rows: str, min_rows: int, max_keys: int = MAX_HOT_KEYS
+    fact: DataFrame,
+    keys: list[str],
+    min_rows: int = MIN_HOT_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """The heaviest keys of a table with one row count per key; never more than ``max_keys`` rows.
+    """Hashes of the keys that hold at least ``min_rows`` rows; never more than ``max_keys`` of them.
 
-    The bound only decides which keys get salted. A key outside it holds less than
-    ``1/max_keys`` of the rows and is joined in the ordinary way.
+    One scan of the key columns feeds a frequent-items sketch of fixed size per task; nothing is
+    shuffled by key. Sketches are merged in two steps, so no task receives one from every map
+    task. The list only decides which keys get salted: every row is joined either way, and a key
+    that ranks behind ``max_keys`` others holds less than ``1/max_keys`` of the rows.
     """
+    sketches = (
+        fact.select(_key_hash(keys).alias("k"), F.spark_partition_id().alias("p"))
+        .groupBy(F.pmod("p", F.lit(SKETCH_GROUPS)).alias("p"))
+        .agg(F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS})").alias("sketch"))
+    )
+    # Grouped by a constant, so that an empty input gives no sketch instead of a failing one.
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
+    )
+    found = merged.select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {max_keys})")))
+    return found.filter(F.col("count") >= min_rows).select(F.col("item").alias(_HASH))
+
+
+def hot_keys_of_counts(
+    counts: DataFrame,
+    keys: list[str],
+    rows: str,
+    min_rows: int = MIN_HOT_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """The same list from a stored table that has one row count per key."""
     return (
         counts.filter(F.col(rows) >= min_rows)
         .orderBy(F.col(rows).desc(), *keys)
         .limit(max_keys)
-        .select(*keys)
+        .select(_key_hash(keys).alias(_HASH))
     )
 
 
@@ -38,26 +72,31 @@ def salted_lookup(
 ) -> DataFrame:
     """``fact.join(lookup, keys, how)`` with the rows of hot keys spread over ``salts`` tasks.
 
-    ``hot`` is a bounded list from :func:`hot_keys`, so broadcasting it is safe at any size of
-    ``fact``. Rows of a hot key take a salt from the hash of ``spread_by``; the lookup row of a
-    hot key is repeated once per salt. Rows whose key holds a NULL can match nothing and are
-    spread the same way, instead of meeting in one task.
+    ``hot`` is the bounded list of :func:`hot_keys`, so broadcasting it is safe at any size of
+    ``fact``. Rows of a hot key take a salt from the hash of ``spread_by``; the lookup rows of a
+    hot key are repeated once per salt. Rows whose key holds a NULL can match nothing and are
+    spread the same way, instead of meeting in one task. Two keys with one hash are salted
+    alike on both sides.
     """
     if how not in ("left", "inner"):
         raise ValueError("salted_lookup supports left and inner joins")
-    marked = F.broadcast(hot.select(*keys).distinct().withColumn("_hot", F.lit(True)))
+    marked = F.broadcast(hot.select(_HASH).distinct().withColumn("_hot", F.lit(True)))
     no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     left = (
-        fact.join(marked, keys, "left")
+        fact.withColumn(_HASH, _key_hash(keys))
+        .join(marked, _HASH, "left")
         .withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0)))
-        .drop("_hot")
+        .drop("_hot", _HASH)
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
     right = (
-        lookup.join(marked, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+        lookup.withColumn(_HASH, _key_hash(keys))
+        .join(marked, _HASH, "left")
+        .withColumn("_salt", F.explode(copies))
+        .drop("_hot", _HASH)
     )
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 

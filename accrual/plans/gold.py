@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accrual.functions.text import is_usable_facility
-from accrual.operators.joins import hot_keys, salted_lookup
+from accrual.operators.joins import MIN_HOT_ROWS, hot_keys, hot_keys_of_counts, salted_lookup
 from accrual.operators.order_stats import running_totals
 from accrual.plans.silver import VELOCITY_CAP
 from accrual.sources.tables import refresh_table
 
 GEO = ["country", "city", "zip"]
 DESCRIPTION = ["facility_name", "state", "latitude", "longitude"]
-HOT_ROWS = 100_000
 VELOCITY_SCALE = 10_000
 
 
@@ -32,7 +31,7 @@ def with_geo_key(sites: DataFrame) -> DataFrame:
 
 
 def sites_with_velocity(
-    sites: DataFrame, trials: DataFrame, orphans: str = "zero", hot_rows: int = HOT_ROWS
+    sites: DataFrame, trials: DataFrame, orphans: str = "zero", hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
     """Site rows with their trial's velocity and start date.
 
@@ -41,12 +40,11 @@ def sites_with_velocity(
     """
     if orphans not in ("zero", "drop"):
         raise ValueError(f"orphans must be 'zero' or 'drop', not {orphans!r}")
-    per_trial = sites.groupBy("nct_id").agg(F.count("*").alias("_rows"))
     joined = salted_lookup(
         sites,
         trials.select("nct_id", "trial_velocity", "start_date"),
         ["nct_id"],
-        hot_keys(per_trial, ["nct_id"], "_rows", hot_rows),
+        hot_keys(sites, ["nct_id"], hot_rows),
         spread_by=[*GEO, "facility_name"],
         how="left" if orphans == "zero" else "inner",
     )
@@ -95,19 +93,19 @@ def site_condition_history(sites: DataFrame) -> DataFrame:
 
 
 def trial_site_stats(
-    sites: DataFrame, history: DataFrame, hot_rows: int = HOT_ROWS
+    sites: DataFrame, history: DataFrame, hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
     """Per trial: number of usable sites and the mean experience and velocity of its places.
 
     One pass over the sites gives both the count and the means: sites without a geo key find no
-    history, so they count in ``n_sites`` and leave the means alone. The history itself says
-    which places are hot, so those are joined salted with no extra counting pass.
+    history, so they count in ``n_sites`` and leave the means alone. ``history`` is the stored
+    table; its own counts say which places are hot, and those are joined salted.
     """
     joined = salted_lookup(
         sites.select("nct_id", *GEO),
         history.select(*GEO, "n_trials", "avg_velocity"),
         GEO,
-        hot_keys(history, GEO, "n_trials", hot_rows),
+        hot_keys_of_counts(history, GEO, "n_trials", hot_rows),
         spread_by=["nct_id"],
     )
     return joined.groupBy("nct_id").agg(
@@ -149,7 +147,7 @@ def trial_features(trials: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def leave_one_out_stats(
-    sites: DataFrame, trials: DataFrame, hot_rows: int = HOT_ROWS
+    sites: DataFrame, trials: DataFrame, hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
     """Per trial: the site means with the trial's own site rows taken out of each place.
 
@@ -164,9 +162,7 @@ def leave_one_out_stats(
     place = own.groupBy(*GEO).agg(
         F.sum("own_n").alias("all_n"), F.sum("own_velocity").alias("all_velocity")
     )
-    joined = salted_lookup(
-        own, place, GEO, hot_keys(place, GEO, "all_n", hot_rows), spread_by=["nct_id"]
-    )
+    joined = salted_lookup(own, place, GEO, hot_keys(sites, GEO, hot_rows), spread_by=["nct_id"])
     others = F.col("all_n") - F.col("own_n")
     mean_of_others = F.when(
         others > 0, (F.col("all_velocity") - F.col("own_velocity")) / others
@@ -180,18 +176,25 @@ def leave_one_out_stats(
     )
 
 
-def as_of_stats(sites: DataFrame, trials: DataFrame) -> DataFrame:
+def as_of_stats(
+    sites: DataFrame, trials: DataFrame, hot_rows: int = MIN_HOT_ROWS
+) -> DataFrame:
     """Per trial: site means over the trials completed before this one started.
 
     Completions and questions ("what was known at this place on this day?") run through one
     ordered pass per place, range-partitioned so that a place of any size spans many tasks.
     Velocities have four decimals, so they are summed as whole ten-thousandths, exactly.
     """
-    rows = with_geo_key(sites).join(
+    keyed = with_geo_key(sites).select("nct_id", *GEO)
+    rows = salted_lookup(
+        keyed,
         plausible_trials(trials).select(
             "nct_id", "trial_velocity", "start_date", "primary_completion_date"
         ),
-        "nct_id",
+        ["nct_id"],
+        hot_keys(keyed, ["nct_id"], hot_rows),
+        spread_by=GEO,
+        how="inner",
     )
     ten_thousandths = F.round(F.col("trial_velocity") * VELOCITY_SCALE).cast("bigint")
     # A completion counts from the next day on.

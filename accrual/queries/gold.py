@@ -12,6 +12,7 @@ from accrual.operators.values import top_dimension_values
 from accrual.plans import gold
 from accrual.queries import shapes
 from accrual.queries.registry import query, settled
+from accrual.session import durable
 from accrual.queries.shapes import HISTORY_SQL, RAW_TRIALS_SQL, SITES_SQL, TRIALS_SQL, table
 
 
@@ -23,6 +24,11 @@ def _history(spark, sf_dir):
     return gold.site_history(_usable(spark, sf_dir), shapes.trials(spark, sf_dir))
 
 
+def _stored_history(spark, sf_dir):
+    """The history as a written table, as the layer plan has it: computed once, read twice."""
+    return durable(_history(spark, sf_dir))
+
+
 @query(
     "trial_velocity",
     f"""WITH {TRIALS_SQL}
@@ -80,7 +86,7 @@ SELECT nct_id, count(*) AS n_sites, round(avg(n_trials) + 1e-9, 6) AS avg_site_e
 FROM usable LEFT JOIN history USING (country, city, zip) GROUP BY nct_id""",
 )
 def trial_site_stats(spark, sf_dir):
-    stats = gold.trial_site_stats(_usable(spark, sf_dir), _history(spark, sf_dir))
+    stats = gold.trial_site_stats(_usable(spark, sf_dir), _stored_history(spark, sf_dir))
     return stats.select(
         "nct_id",
         "n_sites",
@@ -90,7 +96,7 @@ def trial_site_stats(spark, sf_dir):
 
 
 def _features(spark, sf_dir):
-    stats = gold.trial_site_stats(_usable(spark, sf_dir), _history(spark, sf_dir))
+    stats = gold.trial_site_stats(_usable(spark, sf_dir), _stored_history(spark, sf_dir))
     return gold.trial_features(shapes.trials(spark, sf_dir), stats)
 
 

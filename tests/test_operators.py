@@ -141,9 +141,11 @@ def test_salted_lookup_equals_join(spark, how, broadcast):
     lookup = spark.createDataFrame(
         [("hot", 1), ("a", 2), ("b", 3), ("c", 4), ("z", 5)], "k string, v int"
     )
-    counts = fact.groupBy("k").agg(F.count("*").alias("n"))
-    hot = joins.hot_keys(counts.dropna(), ["k"], "n", min_rows=100)
-    assert rows(hot) == [("hot",)]
+    hot = joins.hot_keys(fact, ["k"], min_rows=120)
+    counts = fact.dropna().groupBy("k").agg(F.count("*").alias("n"))
+    hottest = fact.filter("k = 'hot'").select(F.xxhash64("k")).distinct()
+    assert rows(hot) == rows(hottest)
+    assert rows(joins.hot_keys_of_counts(counts, ["k"], "n", min_rows=120)) == rows(hottest)
     default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
@@ -155,7 +157,9 @@ def test_salted_lookup_equals_join(spark, how, broadcast):
 
 def test_hot_keys_are_bounded(spark):
     counts = spark.range(50).select(F.col("id").alias("k"), (F.col("id") + 10).alias("n"))
-    assert joins.hot_keys(counts, ["k"], "n", min_rows=0, max_keys=3).count() == 3
+    assert joins.hot_keys_of_counts(counts, ["k"], "n", min_rows=0, max_keys=3).count() == 3
+    assert joins.hot_keys(spark.range(50), ["id"], min_rows=1, max_keys=3).count() == 3
+    assert joins.hot_keys(spark.range(0), ["id"], min_rows=1).count() == 0
 
 
 groups = st.lists(
