@@ -19,7 +19,7 @@ from accrual.functions import (
 )
 from accrual.operators.dims import dimension_from_lists, one_name_per_id
 from accrual.operators.latest import latest_per_key
-from accrual.sources.tables import refresh_table
+from accrual.sources.tables import refresh_table, stamped
 from accrual.sources.topics import decode_json
 
 # Fill-ins for missing text and the velocity above which a trial is an outlier.
@@ -132,9 +132,13 @@ def is_eligible(sentinel_compat: bool = True, velocity_cap: float = VELOCITY_CAP
     return F.coalesce(test, F.lit(False))
 
 
-def clean_studies(topic: DataFrame, sentinel_compat: bool = True, **derive) -> DataFrame:
+def clean_studies(
+    topic: DataFrame, sentinel_compat: bool = True, keep_version: bool = False, **derive
+) -> DataFrame:
     """Topic rows to the newest eligible version of each study, with sites and ids still nested.
 
+    ``keep_version`` adds the arrival time of that version as ``version``.
+
     Everything that depends on one document alone happens before the shuffle by id. A version
     that is not eligible only has to outrank older ones, so its wide columns are dropped first
     and the shuffle carries its key and order alone.
@@ -153,7 +157,12 @@ def clean_studies(topic: DataFrame, sentinel_compat: bool = True, **derive) -> D
         newest.filter("_eligible")
         .withColumn("phase", F.coalesce("phase", F.lit("UNKNOWN")))
         .withColumn("sex", F.coalesce("sex", F.lit("ALL")))
-        .select(*TRIAL_COLUMNS, "locations", "meshes")
+        .select(
+            *TRIAL_COLUMNS,
+            "locations",
+            "meshes",
+            *([F.col("timestamp").alias("version")] if keep_version else []),
+        )
     )
 
 
@@ -165,10 +174,15 @@ def trials_table(studies: DataFrame) -> DataFrame:
 def sites_table(studies: DataFrame, keep_ordinal: bool = False) -> DataFrame:
     """One row per listed location, missing parts filled in; no locations, no rows.
 
-    ``keep_ordinal`` adds the location's place in its list, the child key of replacement loads.
+    ``keep_ordinal`` adds the location's place in its list and the study's version, if kept: the
+    child key of replacement loads.
     """
+    extra = [c for c in ("version",) if keep_ordinal and c in studies.columns]
     placed = studies.select(
-        "nct_id", "mesh_conditions_ids", F.posexplode("locations").alias("site_ordinal", "loc")
+        "nct_id",
+        "mesh_conditions_ids",
+        *extra,
+        F.posexplode("locations").alias("site_ordinal", "loc"),
     )
     raw = {
         "facility_name": F.col("loc.facility"),
@@ -183,7 +197,7 @@ def sites_table(studies: DataFrame, keep_ordinal: bool = False) -> DataFrame:
         "nct_id",
         *[F.coalesce(value, F.lit(SITE_DEFAULTS[name])).alias(name) for name, value in raw.items()],
         "mesh_conditions_ids",
-        *(["site_ordinal"] if keep_ordinal else []),
+        *(["site_ordinal", *extra] if keep_ordinal else []),
     )
 
 
@@ -201,6 +215,6 @@ def write_silver(topic: DataFrame, folder: str, **options) -> None:
     spark = topic.sparkSession
     refresh_table(clean_studies(topic, **options), f"{folder}/studies")
     studies = spark.read.parquet(f"{folder}/studies")
-    refresh_table(trials_table(studies), f"{folder}/trials")
-    refresh_table(sites_table(studies), f"{folder}/trial_sites")
+    refresh_table(stamped(trials_table(studies)), f"{folder}/trials")
+    refresh_table(stamped(sites_table(studies)), f"{folder}/trial_sites")
     refresh_table(conditions_table(studies), f"{folder}/dim_mesh_conditions")

@@ -94,7 +94,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus",
         "l_tax",
     )
-    return lines.join(places(spark, sf_dir), "l_suppkey").select(
+    return lines.join(places(spark, sf_dir), "l_suppkey", "left").select(
         F.concat(F.lit("T"), F.col("l_orderkey").cast("string")).alias("nct_id"),
         F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), "  ")
         .when((F.col("l_returnflag") == "R") & (F.col("l_tax") == 0.0), " Unknown facility ")
@@ -131,10 +131,13 @@ def study_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     )
+    # Every line has its order, part and supplier. Left joins keep the lines on the streamed side
+    # of each join, however small their file is. Lines and orders grow together, so they meet in
+    # a sort-merge join at any size; it also spreads the document building over all tasks.
     rows = (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .join(part, lines["l_partkey"] == part["p_partkey"])
-        .join(places(spark, sf_dir), "l_suppkey")
+        lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"], "left")
+        .join(part, lines["l_partkey"] == part["p_partkey"], "left")
+        .join(places(spark, sf_dir), "l_suppkey", "left")
     )
     text = F.array().cast("array<string>")
     line, priority, status = F.col("l_linenumber"), F.col("o_orderpriority"), F.col("o_orderstatus")

@@ -63,6 +63,11 @@ def refresh_table(df: DataFrame, path: str, partition_by: list[str] | None = Non
     df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
 
 
+def stamped(df: DataFrame, column: str = "transformed_at") -> DataFrame:
+    """``df`` with the time of the load."""
+    return df.withColumn(column, F.current_timestamp())
+
+
 def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:
     """CSV with a header; array columns become ``|``-separated text."""
     flat = flatten_lists(df)

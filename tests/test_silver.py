@@ -183,13 +183,11 @@ def test_write_silver(spark, tmp_path):
     trials = spark.read.parquet(f"{tmp_path}/trials")
     sites = spark.read.parquet(f"{tmp_path}/trial_sites")
     conditions = spark.read.parquet(f"{tmp_path}/dim_mesh_conditions")
-    assert trials.columns == silver.TRIAL_COLUMNS
+    assert trials.columns == [*silver.TRIAL_COLUMNS, "transformed_at"]
     assert (trials.count(), sites.count(), conditions.count()) == (2, 2, 1)
 
 
 def test_documents_are_parsed_once(spark):
-    from pyspark.sql import functions as F  # noqa: F401
-
     frame = silver.clean_studies(topic(spark, [(study(), 0, 1)]))
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
