@@ -12,6 +12,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Spark 4.1.2 plans keyed operators on the partitioning it infers for a union of joins, and
     # adaptive execution may then join inputs with different partition counts.
     "spark.sql.unionOutputPartitioning": "false",

@@ -69,6 +69,19 @@ def test_incremental(spark):
     assert rows(capped, "id") == [(0,), (1,)]
 
 
+def test_incremental_documents(spark):
+    def doc(status, updated):
+        module = {"overallStatus": status, "lastUpdatePostDateStruct": {"date": updated}}
+        return json.dumps({"protocolSection": {"statusModule": module}})
+
+    texts = [doc("COMPLETED", "2024-03-02"), doc("COMPLETED", "2023-03"), doc("WITHDRAWN", "2024-03-02"), "junk"]
+    data = [("k", t, datetime.datetime(2024, 1, 1), 0, i) for i, t in enumerate(texts)]
+    topic = spark.createDataFrame(data, schemas.TOPIC)
+    assert rows(landing.select_documents(topic, "2024-03-03", daily=True), "offset") == [(0,)]
+    capped = landing.select_documents(topic, "2024-03-03", daily=False, max_rows=1)
+    assert rows(capped, "offset") == [(0,)] and capped.columns == topic.columns
+
+
 def test_tables(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
     path = f"{tmp_path}/t"
