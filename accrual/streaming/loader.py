@@ -150,16 +150,20 @@ def current_children(
     return replace_children(target, parents, fresh, key, version, ordinal)
 
 
-def compact(spark: SparkSession, folder: str, current: DataFrame) -> int:
-    """Write ``current`` as the new snapshot through the last recorded batch; returns that batch.
-
-    ``current`` is what ``current_rows`` or ``current_children`` gave. The new snapshot is a
-    new folder, and it counts from the moment its number is appended to the list of finished
-    ones, so a reader or a crash in between still finds the previous state. Run it between
-    loads.
+def compact(spark: SparkSession, folder: str, current: Callable[[], DataFrame]) -> int:
+    """Write what ``current`` returns as the new snapshot; returns the batch it reaches through.
+
+    ``current`` calls ``current_rows`` or ``current_children``. It is called after the last batch
+    number is read, so a batch that arrives meanwhile is at worst applied twice. The new
+    snapshot is a new folder, and it counts from the moment its number is appended to the list
+    of finished ones, so a reader or a crash in between still finds the previous state. With no
+    new batch there is nothing to do: the snapshot being read is never overwritten. A load
+    must not be writing its batch at that moment; run it between loads.
     """
     through = spark.read.parquet(f"{folder}/changes").agg(F.max("batch_id")).first()[0]
-    current.write.mode("overwrite").parquet(f"{folder}/snapshots/{through}")
+    if through == _snapshot_through(spark, folder):
+        return through
+    current().write.mode("overwrite").parquet(f"{folder}/snapshots/{through}")
     done = spark.range(1).select(F.lit(through).cast("bigint").alias("through"))
     done.coalesce(1).write.mode("append").json(f"{folder}/snapshots_done")
     return through

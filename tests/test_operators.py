@@ -298,3 +298,36 @@ def test_place_filters(spark):
     assert rows(dims.within_places(sites, chosen=chosen), "country") == [("IT",)]
     with pytest.raises(ValueError):
         dims.within_places(sites)
+
+
+def test_latest_is_cut_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    newest = latest_per_key(df, ["k"], [F.col("id").desc()])
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    shuffle = plan.index("Exchange hashpartitioning")
+    assert plan.index("WindowGroupLimit") < shuffle < plan.rindex("WindowGroupLimit")
+    assert rows(newest) == [(0, 999), (1, 997), (2, 998)]
+
+
+def test_hot_rows_are_spread(spark):
+    """A key with a third of the rows, and the rows without a key, reach many tasks."""
+    fact = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"),
+        "id",
+    )
+    lookup = fact.filter("k is not null").groupBy("k").agg(F.count("*").alias("n"))
+    hot = joins.hot_keys(fact, ["k"], min_rows=1000)
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = joins.salted_lookup(fact, lookup, ["k"], hot, ["id"])
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+        largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+        assert total == 9000 and largest < 1500
+        assert rows(joined.filter("k = 'hot'").select("n").distinct()) == [(3000,)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
