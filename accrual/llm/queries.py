@@ -10,6 +10,7 @@ from accrual.llm.common import ready, table
 from accrual.llm.decontaminate import contamination
 from accrual.llm.histogram_sort import shard_documents
 from accrual.llm.license_index import scan_licenses
+from accrual.llm.warc import deduplicate_pages
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,10 @@ def op2_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text", "places")
 
 
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate_pages(table(ready(spark), sf_dir, "pages")).drop("url")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,7 +65,7 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
 _QUERIES: dict[str, QueryFn] = {
-    f.__name__: f for f in (op1_histogram_shards, op2_license_index, op4_decontaminate)
+    f.__name__: f for f in (op1_histogram_shards, op2_license_index, op3_warc_revisits, op4_decontaminate)
 }
 _ORACLES = {"op4_decontaminate": OP4_SQL}
 
