@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from accrual.llm.common import ready, table
 from accrual.llm.decontaminate import contamination
 from accrual.llm.histogram_sort import shard_documents
+from accrual.llm.language_id import identify_documents
 from accrual.llm.license_index import scan_licenses
 from accrual.llm.warc import deduplicate_pages
 
@@ -32,6 +33,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(ready(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_documents(documents).drop("text", "lang")
+
+
 _SQL_WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
     " 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -65,7 +71,14 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
 _QUERIES: dict[str, QueryFn] = {
-    f.__name__: f for f in (op1_histogram_shards, op2_license_index, op3_warc_revisits, op4_decontaminate)
+    f.__name__: f
+    for f in (
+        op1_histogram_shards,
+        op2_license_index,
+        op3_warc_revisits,
+        op4_decontaminate,
+        op10_output_codes,
+    )
 }
 _ORACLES = {"op4_decontaminate": OP4_SQL}
 
