@@ -11,6 +11,7 @@ from accrual.llm.decontaminate import contamination
 from accrual.llm.histogram_sort import shard_documents
 from accrual.llm.language_id import identify_documents
 from accrual.llm.license_index import scan_licenses
+from accrual.llm.sentencepiece_backend import encode_texts, read_model
 from accrual.llm.warc import deduplicate_pages
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    return encode_texts(documents, read_model(), keep_ids=False).drop("text")
+
+
 def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(ready(spark), sf_dir, "documents").select("doc_id", "text", "lang")
     return identify_documents(documents).drop("text", "lang")
@@ -77,6 +83,7 @@ _QUERIES: dict[str, QueryFn] = {
         op2_license_index,
         op3_warc_revisits,
         op4_decontaminate,
+        op8_sentencepiece,
         op10_output_codes,
     )
 }
