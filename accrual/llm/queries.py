@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from accrual.llm.common import ready, table
 from accrual.llm.decontaminate import contamination
 from accrual.llm.histogram_sort import shard_documents
+from accrual.llm.jaccard_join import jaccard_components
 from accrual.llm.language_id import identify_documents
 from accrual.llm.license_index import scan_licenses
 from accrual.llm.sentencepiece_backend import encode_texts, read_model
@@ -34,6 +35,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(ready(spark), sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(ready(spark), sf_dir, "documents").select("doc_id", "text")
     return encode_texts(documents, read_model(), keep_ids=False).drop("text")
@@ -83,6 +88,7 @@ _QUERIES: dict[str, QueryFn] = {
         op2_license_index,
         op3_warc_revisits,
         op4_decontaminate,
+        op7_jaccard_join,
         op8_sentencepiece,
         op10_output_codes,
     )

@@ -8,25 +8,50 @@ result to the shared folder and gives it to the next. All but the last return th
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from accrual.llm.common import ready, stored, table
 from accrual.llm.decontaminate import drop_contaminated
+from accrual.llm.jaccard_join import drop_near_duplicates
+from accrual.llm.language_id import UNDETERMINED, identify_documents
+from accrual.llm.sentencepiece_backend import encode_texts, read_model
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without a text or a letter go."""
+    known = identify_documents(docs).where(F.col("lang_pred") != UNDETERMINED)
+    return known.select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that are not contaminated by the benchmark."""
+    return drop_contaminated(docs, table(ready(spark), sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and whether decoding gives its text back."""
+    encoded = encode_texts(docs, read_model())
+    return encoded.select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256", "round_trip")
 
 
 STAGES = [
+    ("language identification", identify_language),
+    ("n-gram jaccard join", deduplicate),
     ("benchmark decontamination", decontaminate),
+    ("sentencepiece encoding", tokenize),
 ]
 
-# Language models and tokenizers cannot be expressed in SQL.
+# A trained language model and a tokenizer cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(ready(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(ready(spark), docs, sf_dir), name.replace(" ", "-"))
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
