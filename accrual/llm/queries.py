@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from accrual.llm.bpe_transducer import count_tokens, read_tokenizer
 from accrual.llm.common import ready, table
 from accrual.llm.decontaminate import contamination
 from accrual.llm.histogram_sort import shard_documents
@@ -35,6 +36,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(ready(spark), sf_dir, "documents"), read_tokenizer())
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(ready(spark), sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ _QUERIES: dict[str, QueryFn] = {
         op2_license_index,
         op3_warc_revisits,
         op4_decontaminate,
+        op6_token_counts,
         op7_jaccard_join,
         op8_sentencepiece,
         op10_output_codes,
