@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from accrual.llm.bpe_transducer import count_tokens, read_tokenizer
 from accrual.llm.common import ready, table
 from accrual.llm.decontaminate import contamination
+from accrual.llm.grid_order_join import near_duplicate_vectors
 from accrual.llm.histogram_sort import shard_documents
 from accrual.llm.jaccard_join import jaccard_components
 from accrual.llm.language_id import identify_documents
@@ -36,6 +37,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(ready(spark), sf_dir, "embeddings"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(ready(spark), sf_dir, "documents"), read_tokenizer())
 
@@ -93,6 +98,7 @@ _QUERIES: dict[str, QueryFn] = {
         op2_license_index,
         op3_warc_revisits,
         op4_decontaminate,
+        op5_grid_order_join,
         op6_token_counts,
         op7_jaccard_join,
         op8_sentencepiece,
