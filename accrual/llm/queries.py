@@ -14,6 +14,7 @@ from accrual.llm.histogram_sort import shard_documents
 from accrual.llm.jaccard_join import jaccard_components
 from accrual.llm.language_id import identify_documents
 from accrual.llm.license_index import scan_licenses
+from accrual.llm.main_text import extract_main_text, train_trees
 from accrual.llm.sentencepiece_backend import encode_texts, read_model
 from accrual.llm.warc import deduplicate_pages
 
@@ -54,6 +55,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(documents, read_model(), keep_ids=False).drop("text")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(ready(spark), sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages, train_trees(pages)).drop("html")
+
+
 def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(ready(spark), sf_dir, "documents").select("doc_id", "text", "lang")
     return identify_documents(documents).drop("text", "lang")
@@ -102,6 +108,7 @@ _QUERIES: dict[str, QueryFn] = {
         op6_token_counts,
         op7_jaccard_join,
         op8_sentencepiece,
+        op9_main_text,
         op10_output_codes,
     )
 }
