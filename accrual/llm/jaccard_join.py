@@ -4,19 +4,19 @@ Documents are rows and word n-grams are columns of a 0/1 incidence matrix; the p
 with its transpose holds all overlaps. Most of it is never formed:
 
 * Documents with equal sets of n-grams are one row (a class).
-* Two sets can only be similar enough if they share one of the first ``n - ceil(t n) + 1`` n-grams of
-  each, under any order that is the same for all. The order is by rarity, so only the rarest columns of
-  a document are kept. Rarity is counted in a table of fixed size (``2 ** SKETCH_BITS`` counters that
-  n-grams share by hash): shared counters make the order less good, never wrong.
-* A kept column with at most ``BLOCK`` rows gives candidate pairs; pairs whose sizes alone rule out
-  the similarity are discarded, the rest are distinct pairs whose overlap is then counted on the
-  full sets.
+* Two sets that are similar enough share at least ``SHARED`` of the first ``n - ceil(t n) + SHARED``
+  n-grams of each, under any order that is the same for all. The order is by rarity, so only the rarest
+  columns of a document are kept. An n-gram is as rare as its words together; words are counted in a
+  table of fixed size (``2 ** SKETCH_BITS`` counters that words share by hash): shared counters make
+  the order less good, never wrong.
+* A kept column with at most ``BLOCK`` rows gives candidate pairs. Pairs whose sizes alone rule out the
+  similarity are discarded; overlaps in the kept columns are added up, and pairs with fewer than they
+  must share are discarded. Only what is left is counted on the full sets.
 * A longer column is cut into row blocks, and each pair of blocks is one task that multiplies the full
   sets of its documents, column block by column block, adds up the overlaps, and returns only links
   that connect something new within the block pair. No pair of a frequent column is ever written.
 
-Full sets are made only for documents that are in some kept column with another document. N-grams and
-classes are 64-bit hashes.
+Full sets are made only for documents of such pairs and columns. N-grams and classes are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -37,28 +37,52 @@ BLOCK = 128
 COLUMNS_AT_ONCE = 4096
 PERCENT = 90
 WORDS = 3
+SHARED = 4
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 
+def word_hashes(text: str) -> np.ndarray:
+    """Hashes of the words of ``text`` in order: A-Z is lower-cased, ASCII white space separates."""
+    parts = text.encode().translate(_LOWER).split()
+    return np.fromiter(map(xxhash.xxh64_intdigest, parts), dtype=np.uint64, count=len(parts))
+
+
+def _grams(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of the runs of ``words`` words; of the only run if there are fewer words."""
+    width = min(words, len(hashes))
+    count = len(hashes) - width + 1 if width else 0
+    mixed = np.full(count, width, dtype=np.uint64)
+    for i in range(width):
+        mixed = (mixed ^ hashes[i : count + i]) * _MIX[i % len(_MIX)]
+        mixed ^= mixed >> np.uint64(29)
+    return mixed
+
+
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams of ``text``, after lower-casing A-Z.
+    """Sorted distinct hashes of the word n-grams of ``text``.
 
-    Words are separated by ASCII white space. A text of fewer words is one n-gram, one without words
-    has none.
+    A text of fewer words is one n-gram, one without words has none.
     """
-    parts = text.encode().translate(_LOWER).split()
-    if not parts:
-        return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, parts), dtype=np.uint64, count=len(parts))
-    width = min(words, len(parts))
-    with np.errstate(over="ignore"):
-        mixed = np.full(len(parts) - width + 1, width, dtype=np.uint64)
-        for i in range(width):
-            mixed = (mixed ^ hashes[i : len(parts) - width + 1 + i]) * _MIX[i % 3]
-            mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed)
+    return np.unique(_grams(word_hashes(text), words))
+
+
+def kept_grams(text: str, words: int, percent: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The set of ``text``, and its rarest n-grams, as many as the similarity demands.
+
+    ``weights`` holds a logarithmic count for each bucket of words.
+    """
+    hashes = word_hashes(text)
+    grams, first = np.unique(_grams(hashes, words), return_index=True)
+    load = weights[_buckets(hashes)]
+    width = min(words, len(hashes))
+    common = sum((load[first + i] for i in range(width)), np.zeros(len(first)))
+    return grams, grams[np.lexsort((grams, common))[: prefix_length(len(grams), percent)]]
+
+
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
 def _class_of(grams: np.ndarray) -> int:
@@ -69,9 +93,9 @@ def _signed(grams: np.ndarray) -> np.ndarray:
     return grams.view(np.int64)
 
 
-def prefix_length(n: int, percent: int = PERCENT) -> int:
-    """How many of ``n`` n-grams may be missing from a similar set, and one more."""
-    return n - -(-percent * n // 100) + 1
+def prefix_length(n: int, percent: int = PERCENT, shared: int = SHARED) -> int:
+    """How many n-grams of a set of ``n`` to keep, so that similar sets share ``shared`` of them."""
+    return min(n, n - -(-percent * n // 100) + shared)
 
 
 def similar(overlap, a, b, percent: int = PERCENT):
@@ -87,10 +111,11 @@ def _scan(words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for frame in frames:
-            sets = [shingle_set(text, words) for text in frame["text"]]
-            if sets:
-                counters = np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)
+            hashes = [word_hashes(text) for text in frame["text"]]
+            for at in range(0, len(hashes), 256):
+                counters = _buckets(np.concatenate(hashes[at : at + 256]))
                 weights += np.bincount(counters, minlength=len(weights))
+            sets = [np.unique(_grams(h, words)) for h in hashes]
             made = [(_class_of(grams) if len(grams) else None, len(grams)) for grams in sets]
             out = frame[["doc_id", "text_hash"]].copy()
             out["class"] = pd.array([c for c, _ in made], dtype="Int64")
@@ -114,16 +139,14 @@ def _prefixes(words: int, percent: int, weights: np.ndarray):
         for frame in frames:
             grams_out, class_out, n_out = [], [], []
             for text in frame["text"]:
-                grams = shingle_set(text, words)
+                grams, keep = kept_grams(text, words, percent, weights)
                 if not len(grams):
                     continue
                 name = _class_of(grams)
                 if name in done:
                     continue
                 done.add(name)
-                load = weights[grams >> np.uint64(64 - SKETCH_BITS)]
-                keep = np.lexsort((grams, load))[: prefix_length(len(grams), percent)]
-                grams_out.append(_signed(grams[keep]))
+                grams_out.append(_signed(keep))
                 class_out.append(np.full(len(keep), name))
                 n_out.append(np.full(len(keep), len(grams)))
             if grams_out:
@@ -141,7 +164,7 @@ def _prefixes(words: int, percent: int, weights: np.ndarray):
 def _sets(words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            sets = [_signed(shingle_set(text, words)) for text in frame["text"]]
+            sets = [np.sort(_signed(shingle_set(text, words))) for text in frame["text"]]
             yield pd.DataFrame({"class": frame["class"], "grams": sets})
 
     return run
@@ -224,6 +247,7 @@ def _linked(documents: DataFrame, percent: int, words: int, block: int) -> DataF
     weights = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     for bucket, weight in counted.toPandas().itertuples(index=False):
         weights[int(bucket)] = weight
+    weights = np.log2(weights + 1.0)
 
     kept = stored(
         texts.select("text").mapInPandas(
@@ -237,44 +261,55 @@ def _linked(documents: DataFrame, percent: int, words: int, block: int) -> DataF
     columns = columns.where(F.col("_low") != F.col("_high")).select("gram", "rows")
     shared = stored(kept.join(columns, "gram").distinct(), "shared-columns")
 
-    # One document of each class that shares a kept column, and its full set.
-    named = docs.where(F.col("class").isNotNull())
+    pairs = stored(_candidate_pairs(shared, percent, block), "candidate-pairs")
+    large = shared.where(F.col("rows") > block)
+
+    # One document of each class that is still in question, and its full set.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).union(large.select("class"))
     chosen = (
-        named.join(shared.select("class").distinct(), "class")
+        docs.where(F.col("class").isNotNull())
+        .join(asked.distinct(), "class")
         .groupBy("class")
         .agg(F.min(F.struct("text_hash", "doc_id")).alias("_d"))
         .select("class", "_d.text_hash", F.col("_d.doc_id").alias("_id"))
     )
     wanted = texts.join(chosen, "text_hash").where(F.col("doc_id").eqNullSafe(F.col("_id")))
-    sets = stored(
-        wanted.select("class", "text")
-        .mapInPandas(_sets(words), "class long, grams array<long>")
-        .dropDuplicates(["class"]),
-        "full-sets",
-    )
-    links = _small_columns(shared, sets, percent, block).union(
-        _large_columns(shared, sets, percent, block)
-    )
+    sets = wanted.select("class", "text").mapInPandas(_sets(words), "class long, grams array<long>")
+    sets = stored(sets, "full-sets")
+    links = _verified(pairs, sets, percent).union(_large_columns(large, sets, percent, block))
     found = connected_components(links).select(F.col("node").alias("class"), "component")
     return docs.join(found, "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
 
 
-def _small_columns(shared: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links among the rows of columns with at most ``block`` rows."""
-    member = F.struct("n", "class")
+def _candidate_pairs(shared: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs of columns with at most ``block`` rows that share as many of them as they must.
+
+    A pair that also meets in a longer column is compared there.
+    """
     lists = (
         shared.where(F.col("rows") <= block)
         .groupBy("gram")
-        .agg(F.sort_array(F.collect_set(member)).alias("m"))
+        .agg(F.sort_array(F.collect_set(F.struct("n", "class"))).alias("m"))
     )
-    # Smaller sets come first in a list, so the size bound is on the second of a pair.
-    pairs = lists.select("m", F.posexplode("m").alias("at", "x")).select(
-        "x", F.explode(F.slice("m", F.col("at") + 2, F.size("m"))).alias("y")
+    # Columns with the same rows are one column that counts several times. Smaller sets come first in
+    # a list, so the size bound is on the second of a pair.
+    lists = lists.groupBy("m").agg(F.count(F.lit(1)).alias("times"))
+    pairs = lists.select("m", "times", F.posexplode("m").alias("at", "x")).select(
+        "times", "x", F.explode(F.slice("m", F.col("at") + 2, F.size("m"))).alias("y")
     )
     pairs = pairs.where(100 * F.col("x.n") >= percent * F.col("y.n"))
-    pairs = pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    counted = pairs.groupBy(
+        F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("y.n").alias("n")
+    ).agg(F.sum("times").alias("common"))
+    must = F.least(F.lit(SHARED), F.ceil(percent * F.col("n") / 100))
+    return counted.where(F.col("common") >= must).select("a", "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets are similar."""
+    sets = sets.dropDuplicates(["class"])
     left = sets.select(F.col("class").alias("a"), F.col("grams").alias("_ga"))
     right = sets.select(F.col("class").alias("b"), F.col("grams").alias("_gb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -282,10 +317,15 @@ def _small_columns(shared: DataFrame, sets: DataFrame, percent: int, block: int)
     return both.where(similar(overlap, F.size("_ga"), F.size("_gb"), percent)).select("a", "b")
 
 
-def _large_columns(shared: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+def _large_columns(large: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """Links among the rows of longer columns, by products of pairs of row blocks."""
+    # Of columns with the same rows, which have the same signature, one is enough.
+    signature = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"_s{i}") for i in range(2)]
+    columns = large.groupBy("gram", "rows").agg(F.count(F.lit(1)).alias("_n"), *signature)
+    columns = columns.groupBy("_n", "_s0", "_s1").agg(F.min("gram").alias("gram"))
+    large = large.join(columns.select("gram"), "gram", "left_semi")
     blocks = F.ceil(F.col("rows") / block).cast("int")
-    placed = shared.where(F.col("rows") > block).select(
+    placed = large.select(
         "gram", "class", blocks.alias("_b"), F.pmod(F.xxhash64("class"), blocks).cast("int").alias("block")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("_b") - 1))
