@@ -82,3 +82,36 @@ def plain_words(text: Column) -> Column:
     """Words of digits, a-z and non-ASCII characters, after lower-casing A-Z; none for NULL."""
     spaced = F.regexp_replace(ascii_lower(text), SEPARATORS, " ")
     return F.coalesce(F.array_remove(F.split(spaced, " "), ""), F.array().cast("array<string>"))
+
+
+PIECES = 256
+
+
+def hot_counts(counts: DataFrame, key: str, rows: str) -> DataFrame:
+    """Keys with more than one in ``PIECES`` of all rows, and how many pieces (``_k``) to cut each into.
+
+    ``counts`` has one row per key and its number of rows. There cannot be more than ``PIECES`` such
+    keys, whatever the data, so the result may be broadcast.
+    """
+    total = counts.agg(F.sum(rows)).first()[0] or 0
+    share = max(1, total // PIECES)
+    return counts.where(F.col(rows) > share).select(
+        F.col(key), F.ceil(F.col(rows) / share).cast("int").alias("_k")
+    )
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, rows: str, spread: Column) -> DataFrame:
+    """Inner join with ``right``, which has one row per key and the number of left rows in ``rows``.
+
+    Keys with many rows are cut into pieces by a hash of ``spread``; their right rows are repeated once
+    per piece. The columns of ``right`` but ``rows`` are added to those of ``left``.
+    """
+    hot = F.broadcast(hot_counts(right, key, rows))
+    pieces = F.coalesce(F.col("_k"), F.lit(1))
+    cut = left.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), pieces))
+    repeated = (
+        right.join(hot, key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), (pieces - 1).cast("long"))))
+        .drop("_k", rows)
+    )
+    return cut.drop("_k").join(repeated, [key, "_salt"]).drop("_salt")

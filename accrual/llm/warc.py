@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrual.llm.common import new_folder, stored
+from accrual.llm.common import new_folder, salted_join, stored
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF = "\r\n"
@@ -69,9 +69,13 @@ def resolve_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         F.octet_length(payload).cast("long").alias("payload_bytes"),
         base32_sha1(payload).alias("payload_digest"),
     )
-    first = held.groupBy("payload_digest").agg(F.min("page_id").alias("first_page"))
+    first = held.groupBy("payload_digest").agg(
+        F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("_rows")
+    )
+    first = stored(first, "payloads")
     revisit = (F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_page"))
-    return held.join(first, "payload_digest").withColumn(
+    joined = salted_join(held, first, "payload_digest", "_rows", F.monotonically_increasing_id())
+    return joined.withColumn(
         "record_type", F.when(revisit, "revisit").otherwise("response")
     )
 
@@ -193,10 +197,14 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
 def join_revisits(records: DataFrame) -> DataFrame:
     """Every record with its full payload's length and digest and, for revisits, ``refers_to``.
 
-    ``records`` is read twice. Repeated responses of one record id count once.
+    ``records`` must give the same rows on every read. Repeated responses of one record id count once;
+    a revisit whose response is missing has no length and digest.
     """
-    responses = (
-        records.where(F.col("record_type") == "response")
+    is_revisit = F.col("record_type") == "revisit"
+    revisits = records.where(is_revisit)
+    wanted = revisits.groupBy("refers_to_record").agg(F.count(F.lit(1)).alias("_rows"))
+    originals = (
+        records.where(~is_revisit)
         .groupBy(F.col("record_id").alias("refers_to_record"))
         .agg(
             F.min("page_id").alias("refers_to"),
@@ -204,14 +212,26 @@ def join_revisits(records: DataFrame) -> DataFrame:
             F.min("payload_digest").alias("_digest"),
         )
     )
-    return records.join(responses, "refers_to_record", "left").select(
+    originals = stored(wanted.join(originals, "refers_to_record", "left"), "revisited")
+    resolved = salted_join(
+        revisits, originals, "refers_to_record", "_rows", F.monotonically_increasing_id()
+    ).select(
         "page_id",
-        F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
-        F.coalesce("payload_digest", "_digest").alias("payload_digest"),
+        F.col("_bytes").alias("payload_bytes"),
+        F.col("_digest").alias("payload_digest"),
         "record_type",
         "refers_to",
         "url",
     )
+    own = records.where(~is_revisit).select(
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.lit(None).cast("long").alias("refers_to"),
+        "url",
+    )
+    return own.union(resolved)
 
 
 def deduplicate_pages(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
