@@ -52,7 +52,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(ready(spark), sf_dir, "documents").select("doc_id", "text")
-    return encode_texts(documents, read_model(), keep_ids=False).drop("text")
+    return encode_texts(documents, read_model(), keep_ids=False, keep_text=False)
 
 
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

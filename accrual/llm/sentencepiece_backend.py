@@ -19,8 +19,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from accrual.llm.common import free_name
 
@@ -187,39 +189,47 @@ def _batches(texts: list[str]) -> Iterator[list[str]]:
 
 
 def encode_texts(
-    documents: DataFrame, model: bytes, text: str = "text", keep_ids: bool = True
+    documents: DataFrame, model: bytes, text: str = "text", keep_ids: bool = True, keep_text: bool = True
 ) -> DataFrame:
     """``documents`` with ``ids``, ``n_tokens``, ``ids_sha256`` and ``round_trip``.
 
     ``ids_sha256`` is over the ids as little-endian 32-bit numbers; ``round_trip`` says whether decoding
     gives the text back (a text with the metaspace mark itself does not come back). ``keep_ids=False``
-    leaves ``ids`` out. A NULL text counts as empty: no ids, and it comes back. Texts are encoded whole;
+    leaves ``ids`` out, ``keep_text=False`` the text. A NULL text counts as empty: no ids, and it comes back. Texts are encoded whole;
     columns with these names are replaced.
     """
     tokenizer = build(parse_model(model))
     verify_parity(model, tokenizer)
     spark = documents.sparkSession
     shipped = spark.sparkContext.broadcast(tokenizer.to_str())
-    fields = "n_tokens:bigint,ids_sha256:string,round_trip:boolean" + ",ids:array<int>" * keep_ids
+    made = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "round_trip": T.BooleanType()}
+    if keep_ids:
+        made["ids"] = T.ArrayType(T.IntegerType())
+    kept = documents.drop(*made)
+    source = free_name(kept, "_source")
+    names = [c for c in kept.columns if keep_text or c != text]
 
-    @F.pandas_udf(f"struct<{fields}>")
-    def encode(texts: pd.Series) -> pd.DataFrame:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         backend = _loaded(shipped.value)
-        rows = []
-        for batch in _batches(texts.tolist()):
-            ids = [e.ids for e in backend.encode_batch_fast(batch, add_special_tokens=False)]
-            back = backend.decode_batch(ids, skip_special_tokens=False)
-            for given, numbers, got in zip(batch, ids, back):
-                packed = np.array(numbers, dtype="<i4")
-                row = (len(numbers), hashlib.sha256(packed).hexdigest(), got == given)
-                rows.append((*row, packed) if keep_ids else row)
-        return pd.DataFrame(rows, columns=[f.split(":")[0] for f in fields.split(",")])
-
-    made = [f.split(":")[0] for f in fields.split(",")]
-    kept = documents.drop(*made)
-    out = free_name(kept, "_encoded")
-    encoded = kept.withColumn(out, encode(F.coalesce(F.col(text), F.lit(""))))
-    return encoded.select(*kept.columns, *(F.col(out)[c].alias(c) for c in made))
+        kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "round_trip": pa.bool_(), "ids": pa.list_(pa.int32())}
+        for given in batches:
+            out: dict[str, list] = {c: [] for c in made}
+            for batch in _batches(given.column(source).to_pylist()):
+                ids = [e.ids for e in backend.encode_batch_fast(batch, add_special_tokens=False)]
+                back = backend.decode_batch(ids, skip_special_tokens=False)
+                packed = [np.array(i, dtype="<i4") for i in ids]
+                out["n_tokens"] += [len(i) for i in ids]
+                out["ids_sha256"] += [hashlib.sha256(p).hexdigest() for p in packed]
+                out["round_trip"] += [a == b for a, b in zip(batch, back)]
+                if keep_ids:
+                    out["ids"] += packed
+            columns = [given.column(c) for c in names]
+            columns += [pa.array(out[c], type=kinds[c]) for c in made]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *made])
+
+    schema = T.StructType([*(kept.schema[c] for c in names), *(T.StructField(c, t) for c, t in made.items())])
+    given = kept.withColumn(source, F.coalesce(F.col(text), F.lit("")))
+    return given.mapInArrow(encode, schema)
 
 
 def decode_ids(encoded: DataFrame, model: bytes, ids: str = "ids", to: str = "decoded") -> DataFrame:
