@@ -10,8 +10,8 @@ with its transpose holds all overlaps. Most of it is never formed:
   table of fixed size (``2 ** SKETCH_BITS`` counters that words share by hash): shared counters make
   the order less good, never wrong.
 * A kept column with at most ``BLOCK`` rows gives candidate pairs. Pairs whose sizes alone rule out the
-  similarity are discarded; overlaps in the kept columns are added up, and pairs with fewer than they
-  must share are discarded. Only what is left is counted on the full sets.
+  similarity are discarded; overlaps in the kept columns are added up, and pairs with fewer than sets
+  of their sizes must share there are discarded. Only what is left is counted on the full sets.
 * A longer column is cut into row blocks, and each pair of blocks is one task that multiplies the full
   sets of its documents, column block by column block, adds up the overlaps, and returns only links
   that connect something new within the block pair. No pair of a frequent column is ever written.
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accrual.llm.common import free_name, stored
@@ -98,6 +98,11 @@ def prefix_length(n: int, percent: int = PERCENT, shared: int = SHARED) -> int:
     return min(n, n - -(-percent * n // 100) + shared)
 
 
+def _kept_count(n: Column, percent: int) -> Column:
+    """``prefix_length`` as a column."""
+    return F.least(n, n - F.ceil(percent * n / 100) + SHARED)
+
+
 def similar(overlap, a, b, percent: int = PERCENT):
     return 100 * overlap >= percent * (a + b - overlap)
 
@@ -286,7 +291,9 @@ def _linked(documents: DataFrame, percent: int, words: int, block: int) -> DataF
 def _candidate_pairs(shared: DataFrame, percent: int, block: int) -> DataFrame:
     """Pairs of columns with at most ``block`` rows that share as many of them as they must.
 
-    A pair that also meets in a longer column is compared there.
+    Similar sets have at least ``least`` n-grams in common. Those that one of them has beyond its kept
+    ones may be among them; all others, the rarest, are kept on both sides. A pair that also meets in a
+    longer column is compared there.
     """
     lists = (
         shared.where(F.col("rows") <= block)
@@ -300,11 +307,13 @@ def _candidate_pairs(shared: DataFrame, percent: int, block: int) -> DataFrame:
         "times", "x", F.explode(F.slice("m", F.col("at") + 2, F.size("m"))).alias("y")
     )
     pairs = pairs.where(100 * F.col("x.n") >= percent * F.col("y.n"))
-    counted = pairs.groupBy(
-        F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("y.n").alias("n")
-    ).agg(F.sum("times").alias("common"))
-    must = F.least(F.lit(SHARED), F.ceil(percent * F.col("n") / 100))
-    return counted.where(F.col("common") >= must).select("a", "b")
+    counted = pairs.groupBy("x", "y").agg(F.sum("times").alias("common"))
+    least = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
+    lacking = lambda n: n - _kept_count(n, percent)
+    must = least - F.greatest(lacking(F.col("x.n")), lacking(F.col("y.n")))
+    return counted.where(F.col("common") >= must).select(
+        F.col("x.class").alias("a"), F.col("y.class").alias("b")
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -377,21 +386,21 @@ def drop_near_duplicates(
     smaller text hash decides, among equal rows any one stays). Rows without words all stay.
     """
     linked = _linked(documents, percent, words, block)
+    name, chosen_id, chosen_hash = (free_name(documents, c) for c in ("_hash", "_id", "_kept"))
     order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_hash")
     kept = (
         linked.where(F.col("component").isNotNull())
         .groupBy("component")
         .agg(F.min(order).alias("_k"))
-        .select(F.col("_k.doc_id").alias("_id"), F.col("_k.text_hash").alias("_kept"))
+        .select(F.col("_k.doc_id").alias(chosen_id), F.col("_k.text_hash").alias(chosen_hash))
     )
     kept = stored(kept, "kept-documents")
-    name = free_name(documents, "_hash")
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     single = (
         documents.where(has_words)
         .withColumn(name, F.xxhash64("text"))
         .dropDuplicates(["doc_id", name])
     )
-    same = (F.col(name) == F.col("_kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    same = (F.col(name) == F.col(chosen_hash)) & F.col("doc_id").cast("long").eqNullSafe(F.col(chosen_id))
     chosen = single.join(kept, same, "left_semi").drop(name)
     return chosen.union(documents.where(~has_words))
