@@ -17,12 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accrual.llm.common import plain_words, stored
+from accrual.llm.common import free_name, plain_words, stored
 
 WIDTH = 13
 SHINGLE = 5
 #: A hash takes about 32 bytes in a broadcast table; above this many the join is shuffled instead.
 BROADCAST_ROWS = 1_000_000
+#: Positions of a document that are looked at together.
+SEGMENT = 64
 
 
 def _shingle_hash(words: Column, start: Column, length: int) -> Column:
@@ -35,12 +37,9 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """Distinct windows (``words``) and the items that have them (``item_id``), one row per pair."""
     words = benchmark.select("item_id", plain_words(F.col("text")).alias("_w"))
     words = words.where(F.size("_w") > 0)
-    last = F.greatest(F.size("_w") - width, F.lit(0))
-    return words.select(
-        "item_id",
-        "_w",
-        F.explode(F.sequence(F.lit(0), last)).alias("_i"),
-    ).select("item_id", F.slice("_w", F.col("_i") + 1, F.lit(width)).alias("words")).distinct()
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_w") - width, F.lit(0)))
+    windows = F.transform(starts, lambda i: F.slice("_w", i + 1, F.lit(width)))
+    return words.select("item_id", F.explode(windows).alias("words")).distinct()
 
 
 def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
@@ -65,46 +64,81 @@ def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     return parts.withColumn("gram", gram)
 
 
-def _hits(documents: DataFrame, grams: DataFrame, lengths: list[int], width: int) -> DataFrame:
-    """One row per document (``pos`` -1) and one per place whose shingle is in ``grams``.
+def _segments(documents: DataFrame, width: int) -> DataFrame:
+    """Documents cut into segments of ``SEGMENT`` words, with the words around that windows may need.
 
-    Columns: ``row`` (a number for the document's row), ``doc_id``, ``n_words``, ``pos``, ``gram``,
-    ``from`` (position of the first kept word) and ``near`` (the kept words).
+    Columns: ``row`` (a number for the document's row), ``doc_id``, ``n_words``, ``at`` (the segment's
+    first position), ``from`` (the position of the first of its ``words``). A document without words has
+    one empty segment. No row ever holds more than its own segment.
     """
     listed = documents.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         plain_words(F.col("text")).alias("_w"),
     )
-    places = listed.select(
-        "row", "doc_id", "_w", F.explode(F.sequence(F.lit(-1), F.size("_w") - 1)).alias("pos")
-    )
-    if len(lengths) == 1:
-        hashed = F.when(F.col("pos") >= 0, _shingle_hash(F.col("_w"), F.col("pos"), lengths[0]))
-        places = places.withColumn("gram", hashed)
-    else:
-        each = F.array(*(_shingle_hash(F.col("_w"), F.col("pos"), n) for n in lengths))
-        each = F.when(F.col("pos") >= 0, F.array_compact(each)).otherwise(F.array().cast("array<bigint>"))
-        places = places.withColumn("gram", F.explode_outer(each))
-    small = grams.count() <= BROADCAST_ROWS
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_w") - 1, F.lit(0)), F.lit(SEGMENT))
+
+    def cut(at: Column) -> Column:
+        first = F.greatest(at - (width - 1), F.lit(0))
+        return F.struct(
+            at.alias("at"),
+            first.alias("from"),
+            F.slice("_w", first + 1, at - first + SEGMENT + width - 1).alias("words"),
+        )
+
+    return listed.select(
+        "row",
+        "doc_id",
+        F.size("_w").cast("long").alias("n_words"),
+        F.explode(F.transform(starts, cut)).alias("_s"),
+    ).select("row", "doc_id", "n_words", "_s.*")
+
+
+def _places(segments: DataFrame, lengths: list[int]) -> DataFrame:
+    """Segments with ``pos`` and ``gram`` for each of their positions and shingle lengths.
+
+    The first segment of a document also gives a row with ``pos`` -1, which stands for the document.
+    """
+    many = len(lengths)
+    count = F.least(F.col("n_words") - F.col("at"), F.lit(SEGMENT)).cast("int")
+    first = F.when(F.col("at") == 0, -1).otherwise(0)
+    numbered = segments.select("*", F.explode(F.sequence(first, count * many - 1)).alias("_i"))
+    pos = F.when(F.col("_i") >= 0, F.col("at") + F.floor(F.col("_i") / many)).otherwise(-1).cast("int")
+    numbered = numbered.withColumn("pos", pos)
+    gram = F.lit(None).cast("long")
+    for i, length in enumerate(lengths):
+        made = _shingle_hash(F.col("words"), F.col("pos") - F.col("from"), length)
+        gram = F.when((F.col("pos") >= 0) & (F.col("_i") % many == i), made).otherwise(gram)
+    return numbered.withColumn("gram", gram).drop("_i")
+
+
+def _hits(documents: DataFrame, grams: DataFrame, lengths: list[int], width: int) -> DataFrame:
+    """One row per document (``pos`` -1) and one per place whose shingle is in ``grams``.
+
+    Columns: ``row``, ``doc_id``, ``n_words``, ``pos``, ``gram``, ``from`` (the position of the first kept
+    word) and ``near`` (the words that a window through the place could cover).
+    """
     known = grams.select("gram", F.lit(True).alias("_known"))
-    before = F.greatest(F.col("pos") - (width - 1), F.lit(0))
-    kept = F.slice("_w", before + 1, F.lit(2 * width - 1))
-    n_words = F.size("_w").cast("long")
-    if small:
-        found = places.join(F.broadcast(known), "gram", "left")
+    segments = _segments(documents, width)
+    if grams.count() <= BROADCAST_ROWS:
+        found = _places(segments, lengths).join(F.broadcast(known), "gram", "left")
     else:
-        # Word lists stay out of this shuffle: only shingle hashes travel, and what they hit.
-        met = places.select("row", "pos", "gram").join(known, "gram")
-        found = places.join(met.distinct(), ["row", "pos", "gram"], "left")
-    return found.where((F.col("pos") < 0) | F.col("_known")).select(
+        # Only hashes travel to meet the benchmark's; words follow for segments with a hit.
+        segments = stored(segments, "segments")
+        met = _places(segments, lengths).select("row", "at", "pos", "gram").join(known, "gram")
+        found = _places(segments, lengths).where("pos < 0").select("*", F.lit(None).alias("_known"))
+        found = segments.join(met, ["row", "at"]).select(*found.columns).union(found)
+    kept = found.where((F.col("pos") < 0) | F.col("_known"))
+    near = F.greatest(F.col("pos") - (width - 1), F.lit(0))
+    around = F.slice("words", near - F.col("from") + 1, F.lit(2 * width - 1))
+    return kept.select(
         "row",
         "doc_id",
-        n_words.alias("n_words"),
+        "n_words",
         "pos",
         "gram",
-        F.when(F.col("pos") >= 0, before).alias("from"),
-        F.when(F.col("pos") >= 0, kept).alias("near"),
+        F.when(F.col("pos") >= 0, near).alias("from"),
+        F.when(F.col("pos") >= 0, around).alias("near"),
     )
 
 
@@ -206,7 +240,7 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, share: int = 2
     The decision is joined back by ``doc_id``; rows that share an id go together if any of them is
     contaminated, and rows without an id are kept only if none such is contaminated.
     """
-    bad = contamination(documents, benchmark, share).where("contaminated").select(
-        F.col("doc_id").alias("_bad")
-    ).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    name = free_name(documents, "_bad")
+    bad = contamination(documents, benchmark, share).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias(name)).distinct()
+    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
