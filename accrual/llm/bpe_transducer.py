@@ -303,17 +303,12 @@ def count_tokens(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    last = F.greatest(F.ceil(F.char_length("text") / chunk).cast("int") - 1, F.lit(0))
+    # The chunks are made first and then exploded: no row carries more than its chunk.
+    long_text = F.char_length("text") > chunk
+    chunks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    chunks = F.when(long_text, chunks).otherwise(F.array("text"))
     pieces = texts.select(
-        "row", "doc_id", "text", (last == 0).alias("whole"), F.explode(F.sequence(F.lit(0), last)).alias("chunk")
-    ).select(
-        "row",
-        "doc_id",
-        "chunk",
-        "whole",
-        F.when(F.col("whole"), F.col("text"))
-        .otherwise(F.substring("text", F.col("chunk") * chunk + 1, F.lit(chunk)))
-        .alias("text"),
+        "row", "doc_id", (~long_text).alias("whole"), F.posexplode(chunks).alias("chunk", "text")
     )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
