@@ -52,6 +52,7 @@ def find_cuts(
 
     ``keyed`` must give the same rows on every read. An empty frame gives bounds that no row passes.
     """
+    keyed = keyed.select(*keys, size)
     total = keyed.agg(F.sum(size)).first()[0] or 0
     cuts = [_Cut(target=total * i / shards) for i in range(1, shards)]
     slack = tolerance * total / shards
@@ -147,7 +148,7 @@ def histogram_shards(
     """
     keys = ["_h", "_t", "_u"]
     made = ["shard", "slot", *keys, "_slice", "_place"]
-    kept = [c for c in df.columns if c not in made]
+    kept = [c for c in df.columns if c.lower() not in made]
     keyed = df.withColumns({"_h": _hash(content), "_t": _hash(row_id)})
     keyed = stored(
         keyed.withColumn("_u", F.monotonically_increasing_id()).select(*kept, *keys), "shard-keys"

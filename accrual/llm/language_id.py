@@ -172,7 +172,7 @@ def train(rows: DataFrame) -> Model:
             right[languages.index(r["lang"]), r["bit"]] = (r["ok"] + 1) / (r["n"] + 2)
             sizes[r["bit"]] += r["size"] / r["n"] / len(languages)
     reliability = right / np.maximum(right.sum(axis=1, keepdims=True), 1e-9)
-    return Model(languages, codes, weights, np.maximum(sizes, 1e-9), reliability)
+    return Model(languages, codes, weights, np.maximum(np.round(sizes, 4), 1e-4), reliability)
 
 
 def decode(margins: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,43 +187,42 @@ def decode(margins: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, n
     return best, odds[np.arange(len(best)), best], lead
 
 
-def predict_languages(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``documents`` with ``lang_pred``, ``score`` and ``ambiguous`` (columns so named are replaced).
+FOUND = "struct<lang_pred:string,score:double,ambiguous:boolean>"
 
-    A NULL text, one without a letter, or a model without languages gives ``und`` with score 0. Texts
-    are read whole, equal texts get equal results.
-    """
-    made = ["lang_pred", "score", "ambiguous"]
-    kept = documents.drop(*made)
-    out, has = free_name(kept, "_found"), F.col(text).rlike(r"\p{L}")
+
+def language_of(model: Model, text: Column) -> Column:
+    """The prediction for ``text`` as a struct: ``lang_pred``, ``score`` and ``ambiguous``."""
+    unknown = F.struct(
+        F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("ambiguous")
+    )
     if not model.languages:
-        found = F.lit(None).cast("struct<lang_pred:string,score:double,ambiguous:boolean>")
-        return _finished(kept.withColumn(out, found), out)
+        return unknown
 
-    @F.pandas_udf("struct<lang_pred:string,score:double,ambiguous:boolean>")
+    @F.pandas_udf(FOUND)
     def identify(texts: pd.Series) -> pd.DataFrame:
         known = texts.notna().to_numpy()
-        margins = _margins(texts[known].tolist(), model.weights)
-        result = pd.DataFrame(
-            {"lang_pred": None, "score": 0.0, "ambiguous": False}, index=range(len(texts)), dtype=object
-        )
+        result = pd.DataFrame({"lang_pred": UNDETERMINED, "score": 0.0, "ambiguous": False}, index=range(len(texts)))
         if known.any():
-            best, score, lead = decode(margins, model)
+            best, score, lead = decode(_margins(texts[known].tolist(), model.weights), model)
             result.loc[known, "lang_pred"] = [model.languages[i] for i in best]
             result.loc[known, "score"] = score
             result.loc[known, "ambiguous"] = lead < AMBIGUOUS
-        return result.astype({"score": float, "ambiguous": bool})
+        return result
 
-    return _finished(kept.withColumn(out, identify(F.when(has, letters(F.col(text))))), out)
+    return identify(F.when(text.rlike(r"\p{L}"), letters(text)))
 
 
-def _finished(df: DataFrame, found: str) -> DataFrame:
-    return df.select(
-        *(c for c in df.columns if c != found),
-        F.coalesce(F.col(f"{found}.lang_pred"), F.lit(UNDETERMINED)).alias("lang_pred"),
-        F.coalesce(F.col(f"{found}.score"), F.lit(0.0)).alias("score"),
-        F.coalesce(F.col(f"{found}.ambiguous"), F.lit(False)).alias("ambiguous"),
-    )
+def predict_languages(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``documents`` with ``lang_pred``, ``score`` and ``ambiguous`` (columns so named are replaced).
+
+    A NULL text, one without a letter, or a model without languages gives ``und`` with score 0. Texts
+    are read whole, equal texts get equal results.
+    """
+    made = ["lang_pred", "score", "ambiguous"]
+    kept = documents.drop(*made)
+    out = free_name(kept, "_found")
+    found = kept.withColumn(out, language_of(model, F.col(text)))
+    return found.select(*kept.columns, *(F.col(out)[c].alias(c) for c in made))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -231,11 +230,21 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4 == 2
 
 
+def train_on_documents(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+    """A model of the labelled rows that are not held out; rows without an id are not used."""
+    allowed = ~held_out(F.col("doc_id"))
+    return train(training_rows(documents, "text", "lang", allowed, F.col("doc_id"), per_language))
+
+
 def identify_documents(documents: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """``documents`` with ``held_out`` and what ``predict_languages`` adds; rows without id are not
-    trained on and not held out."""
-    rows = training_rows(
-        documents, "text", "lang", ~held_out(F.col("doc_id")), F.col("doc_id"), per_language
-    )
+    """``documents`` with ``held_out`` (false without an id) and what ``predict_languages`` adds."""
+    model = train_on_documents(documents, per_language)
     marked = documents.withColumn("held_out", F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
-    return predict_languages(marked, train(rows))
+    return predict_languages(marked, model)
+
+
+def drop_undetermined(documents: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """The rows of ``documents`` whose language can be told, with their columns as they were."""
+    name = free_name(documents, "_found")
+    found = documents.withColumn(name, language_of(train_on_documents(documents, per_language), F.col("text")))
+    return found.where(F.col(name)["lang_pred"] != UNDETERMINED).drop(name)

@@ -148,7 +148,7 @@ def scan_licenses(
     templates = templates or TEMPLATES
     vocabulary = sorted({w for t in templates for w in t.text_words})
     made = ["n_words", "places", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    kept = [c for c in documents.columns if c not in made]
+    kept = [c for c in documents.columns if c.lower() not in made]
     words, places = free_name(documents, "_words"), free_name(documents, "_places")
     listed = documents.select(*kept, plain_words(F.col(text)).alias(words))
     rows, counts = document_frequency(listed, words, vocabulary)

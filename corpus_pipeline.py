@@ -8,23 +8,23 @@ result to the shared folder and gives it to the next. All but the last return th
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from accrual.llm.common import ready, stored, table
 from accrual.llm.decontaminate import drop_contaminated
 from accrual.llm.jaccard_join import drop_near_duplicates
-from accrual.llm.language_id import UNDETERMINED, identify_documents
+from accrual.llm.language_id import drop_undetermined
 from accrual.llm.sentencepiece_backend import encode_texts, read_model
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a text or a letter go."""
-    known = identify_documents(docs).where(F.col("lang_pred") != UNDETERMINED)
-    return known.select(*docs.columns)
+    ready(spark)
+    return drop_undetermined(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    ready(spark)
     return drop_near_duplicates(docs)
 
 
@@ -35,8 +35,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding gives its text back."""
-    encoded = encode_texts(docs, read_model())
-    return encoded.select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256", "round_trip")
+    ready(spark)
+    return encode_texts(docs.select("doc_id", "lang", "source", "text"), read_model(), keep_text=False)
 
 
 STAGES = [
