@@ -9,12 +9,14 @@ with its transpose holds all overlaps. Most of it is never formed:
   columns of a document are kept. An n-gram is as rare as its words together; words are counted in a
   table of fixed size (``2 ** SKETCH_BITS`` counters that words share by hash): shared counters make
   the order less good, never wrong.
-* A kept column with at most ``BLOCK`` rows gives candidate pairs. Pairs whose sizes alone rule out the
+* A kept column with at most ``PAIRED`` rows gives candidate pairs. Pairs whose sizes alone rule out the
   similarity are discarded; overlaps in the kept columns are added up, and pairs with fewer than sets
   of their sizes must share there are discarded. Only what is left is counted on the full sets.
-* A longer column is cut into row blocks, and each pair of blocks is one task that multiplies the full
-  sets of its documents, column block by column block, adds up the overlaps, and returns only links
-  that connect something new within the block pair. No pair of a frequent column is ever written.
+* A longer column is cut into row blocks, and each pair of blocks is one task that multiplies the sets
+  of its documents, column block by column block, and adds up the overlaps. This is done twice: on the
+  kept columns, to find the documents that share with another what sets of their sizes must share, and
+  on the full sets of those, to find the links, of which only those come back that connect something
+  new within the block pair. No pair of a frequent column is ever written.
 
 Full sets are made only for documents of such pairs and columns. N-grams and classes are 64-bit hashes.
 """
@@ -26,14 +28,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from accrual.llm.common import free_name, stored
 from accrual.llm.components import connected_components
 
 SKETCH_BITS = 18
-BLOCK = 128
+PAIRED = 128
+BLOCK = 512
 COLUMNS_AT_ONCE = 4096
 PERCENT = 90
 WORDS = 3
@@ -142,26 +145,14 @@ def _prefixes(words: int, percent: int, weights: np.ndarray):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done: set[int] = set()
         for frame in frames:
-            grams_out, class_out, n_out = [], [], []
+            made = []
             for text in frame["text"]:
                 grams, keep = kept_grams(text, words, percent, weights)
-                if not len(grams):
-                    continue
                 name = _class_of(grams)
-                if name in done:
-                    continue
-                done.add(name)
-                grams_out.append(_signed(keep))
-                class_out.append(np.full(len(keep), name))
-                n_out.append(np.full(len(keep), len(grams)))
-            if grams_out:
-                yield pd.DataFrame(
-                    {
-                        "gram": np.concatenate(grams_out),
-                        "class": np.concatenate(class_out),
-                        "n": np.concatenate(n_out),
-                    }
-                )
+                if len(grams) and name not in done:
+                    done.add(name)
+                    made.append((name, len(grams), np.sort(_signed(keep))))
+            yield pd.DataFrame(made, columns=["class", "n", "grams"])
 
     return run
 
@@ -217,21 +208,50 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
+def _bound(a, b, percent: int):
+    """How many of their kept n-grams sets of sizes ``a`` and ``b`` must share to be similar."""
+    common = np.ceil(percent * (a + b) / (100 + percent))
+    lacking = [n - np.minimum(n, n - np.ceil(percent * n / 100) + SHARED) for n in (a, b)]
+    return common - np.maximum(*lacking)
+
+
+def _sides(frame: pd.DataFrame) -> tuple[list[pd.DataFrame], bool]:
+    """The two row blocks of a task (one block twice for a block with itself)."""
+    frame = frame.drop_duplicates("class")
+    first, second = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
+    return [frame[frame["block"] == b] for b in (first, second)], first == second
+
+
+def _promising(percent: int):
+    """Documents that share enough kept n-grams with another one of the task."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        (left, right), same = _sides(frame)
+        found = overlaps(left["grams"].tolist(), right["grams"].tolist())
+        a, b = left["n"].to_numpy(float)[:, None], right["n"].to_numpy(float)[None, :]
+        fits = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+        close = fits & (found >= _bound(a, b, percent))
+        if same:
+            np.fill_diagonal(close, False)
+        names = [left["class"][close.any(axis=1)], right["class"][close.any(axis=0)]]
+        return pd.DataFrame({"class": pd.concat(names).unique()})
+
+    return run
+
+
 def _multiply(percent: int):
+    """Links between documents of the task, as many as connect them."""
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("class")
-        first, second = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        sides = [frame[frame["block"] == b] for b in (first, second)]
-        sets = [[np.asarray(g) for g in side["grams"]] for side in sides]
-        sizes = [np.array([len(g) for g in s], dtype=np.float64) for s in sets]
-        found = overlaps(*sets)
-        close = similar(found, sizes[0][:, None], sizes[1][None, :], percent)
-        if first == second:
+        (left, right), same = _sides(frame)
+        sets = [side["grams"].tolist() for side in (left, right)]
+        sizes = [np.array([len(g) for g in side], dtype=np.float64) for side in sets]
+        close = similar(overlaps(*sets), sizes[0][:, None], sizes[1][None, :], percent)
+        if same:
             close = np.triu(close, 1)
         at, to = np.nonzero(close)
-        names = np.concatenate([side["class"].to_numpy() for side in sides])
-        offset = 0 if first == second else len(sides[0])
-        kept = forest(np.column_stack([at, to + offset]))
+        names = np.concatenate([left["class"].to_numpy(), right["class"].to_numpy()])
+        kept = forest(np.column_stack([at, to + (0 if same else len(left))]))
         return pd.DataFrame(
             {"a": [names[x] for x, _ in kept], "b": [names[y] for _, y in kept]}, dtype="int64"
         )
@@ -239,7 +259,7 @@ def _multiply(percent: int):
     return run
 
 
-def _linked(documents: DataFrame, percent: int, words: int, block: int) -> DataFrame:
+def _linked(documents: DataFrame, percent: int, words: int, paired: int, block: int) -> DataFrame:
     """``doc_id, text_hash, n, class, component`` of each row; the last two are NULL without n-grams."""
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -256,18 +276,22 @@ def _linked(documents: DataFrame, percent: int, words: int, block: int) -> DataF
 
     kept = stored(
         texts.select("text").mapInPandas(
-            _prefixes(words, percent, weights), "gram long, class long, n long"
+            _prefixes(words, percent, weights), "class long, n long, grams array<long>"
         ),
         "kept-columns",
     )
-    columns = kept.groupBy("gram").agg(
+    cells = kept.select("class", "n", F.explode("grams").alias("gram"))
+    columns = cells.groupBy("gram").agg(
         F.min("class").alias("_low"), F.max("class").alias("_high"), F.count(F.lit(1)).alias("rows")
     )
     columns = columns.where(F.col("_low") != F.col("_high")).select("gram", "rows")
-    shared = stored(kept.join(columns, "gram").distinct(), "shared-columns")
+    shared = stored(cells.join(columns, "gram").distinct(), "shared-columns")
 
-    pairs = stored(_candidate_pairs(shared, percent, block), "candidate-pairs")
-    large = shared.where(F.col("rows") > block)
+    pairs = stored(_candidate_pairs(shared, percent, paired), "candidate-pairs")
+    large = shared.where(F.col("rows") > paired).select("gram", "class")
+    tasks = _block_tasks(large, kept.select("class", "n", "grams"), block)
+    promising = stored(tasks.applyInPandas(_promising(percent), "class long"), "promising")
+    large = stored(large.join(promising.distinct(), "class"), "large-columns")
 
     # One document of each class that is still in question, and its full set.
     asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).union(large.select("class"))
@@ -281,22 +305,24 @@ def _linked(documents: DataFrame, percent: int, words: int, block: int) -> DataF
     wanted = texts.join(chosen, "text_hash").where(F.col("doc_id").eqNullSafe(F.col("_id")))
     sets = wanted.select("class", "text").mapInPandas(_sets(words), "class long, grams array<long>")
     sets = stored(sets, "full-sets")
-    links = _verified(pairs, sets, percent).union(_large_columns(large, sets, percent, block))
+    links = _verified(pairs, sets, percent).union(
+        _block_tasks(large, sets, block).applyInPandas(_multiply(percent), "a long, b long")
+    )
     found = connected_components(links).select(F.col("node").alias("class"), "component")
     return docs.join(found, "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
 
 
-def _candidate_pairs(shared: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs of columns with at most ``block`` rows that share as many of them as they must.
+def _candidate_pairs(shared: DataFrame, percent: int, paired: int) -> DataFrame:
+    """Pairs of columns with at most ``paired`` rows that share as many of them as they must.
 
     Similar sets have at least ``least`` n-grams in common. Those that one of them has beyond its kept
     ones may be among them; all others, the rarest, are kept on both sides. A pair that also meets in a
     longer column is compared there.
     """
     lists = (
-        shared.where(F.col("rows") <= block)
+        shared.where(F.col("rows") <= paired)
         .groupBy("gram")
         .agg(F.sort_array(F.collect_set(F.struct("n", "class"))).alias("m"))
     )
@@ -326,34 +352,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(similar(overlap, F.size("_ga"), F.size("_gb"), percent)).select("a", "b")
 
 
-def _large_columns(large: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links among the rows of longer columns, by products of pairs of row blocks."""
-    # Of columns with the same rows, which have the same signature, one is enough.
+def _block_tasks(large: DataFrame, sets: DataFrame, block: int) -> GroupedData:
+    """The rows of longer columns, cut into blocks, with their sets, grouped by pairs of blocks.
+
+    ``large`` holds (gram, class). Of columns with the same rows, which have the same signature, one is
+    enough, and a column with one row has no pairs.
+    """
     signature = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"_s{i}") for i in range(2)]
-    columns = large.groupBy("gram", "rows").agg(F.count(F.lit(1)).alias("_n"), *signature)
-    columns = columns.groupBy("_n", "_s0", "_s1").agg(F.min("gram").alias("gram"))
-    large = large.join(columns.select("gram"), "gram", "left_semi")
-    blocks = F.ceil(F.col("rows") / block).cast("int")
-    placed = large.select(
-        "gram", "class", blocks.alias("_b"), F.pmod(F.xxhash64("class"), blocks).cast("int").alias("block")
+    columns = large.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"), *signature)
+    columns = columns.where(F.col("_n") > 1).groupBy("_n", "_s0", "_s1").agg(F.min("gram").alias("gram"))
+    blocks = F.ceil(F.col("_n") / block).cast("int")
+    placed = large.join(columns.select("gram", blocks.alias("_b")), "gram").select(
+        "gram", "class", "_b", F.pmod(F.xxhash64("class"), "_b").cast("int").alias("block")
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("_b") - 1))
-    sent = placed.withColumn("_o", other).select(
+    sent = placed.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).select(
         "gram",
         F.least("block", "_o").alias("i"),
         F.greatest("block", "_o").alias("j"),
         "block",
         "class",
     )
-    return (
-        sent.join(sets, "class")
-        .groupBy("gram", "i", "j")
-        .applyInPandas(_multiply(percent), "a long, b long")
-    )
+    return sent.join(sets, "class").groupBy("gram", "i", "j")
 
 
 def jaccard_components(
-    documents: DataFrame, percent: int = PERCENT, words: int = WORDS, block: int = BLOCK
+    documents: DataFrame, percent: int = PERCENT, words: int = WORDS, paired: int = PAIRED, block: int = BLOCK
 ) -> DataFrame:
     """Per row of ``documents`` (``doc_id``, ``text``): ``doc_id, n_shingles, component_id``.
 
@@ -362,7 +385,7 @@ def jaccard_components(
     no n-grams and link with nothing; rows without ``doc_id`` take part and get the component of what
     they link with (NULL if all of it has no id). Repeated rows keep a row each.
     """
-    linked = stored(_linked(documents, percent, words, block), "linked")
+    linked = stored(_linked(documents, percent, words, paired, block), "linked")
     smallest = (
         linked.where(F.col("component").isNotNull())
         .groupBy("component")
@@ -378,14 +401,14 @@ def jaccard_components(
 
 
 def drop_near_duplicates(
-    documents: DataFrame, percent: int = PERCENT, words: int = WORDS, block: int = BLOCK
+    documents: DataFrame, percent: int = PERCENT, words: int = WORDS, paired: int = PAIRED, block: int = BLOCK
 ) -> DataFrame:
     """One row of each group of linked documents, with its columns as they were.
 
     The row with the smallest ``doc_id`` stays (rows without an id come last; among rows of one id the
     smaller text hash decides, among equal rows any one stays). Rows without words all stay.
     """
-    linked = _linked(documents, percent, words, block)
+    linked = _linked(documents, percent, words, paired, block)
     name, chosen_id, chosen_hash = (free_name(documents, c) for c in ("_hash", "_id", "_kept"))
     order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_hash")
     kept = (

@@ -16,17 +16,17 @@ def expected(rows, percent=90):
     return sorted(((r["doc_id"], len(shingles(r["text"])), c) for r, c in zip(rows, roots)), key=repr)
 
 
-@pytest.mark.parametrize("block", [128, 3])
-def test_against_brute_force(documents, block):
-    """With pairs from short columns, and with products of row blocks."""
+@pytest.mark.parametrize("paired, block", [(128, 512), (1, 3), (4, 512)])
+def test_against_brute_force(documents, paired, block):
+    """With pairs from short columns, with products of row blocks, and with both."""
     want = expected(documents.select("doc_id", "text").collect())
-    got = jaccard_components(documents, block=block).collect()
+    got = jaccard_components(documents, paired=paired, block=block).collect()
     assert sorted((tuple(r) for r in got), key=repr) == want
 
 
 def test_other_similarity(documents):
     want = expected(documents.select("doc_id", "text").collect(), 70)
-    got = jaccard_components(documents, percent=70, block=4).collect()
+    got = jaccard_components(documents, percent=70, paired=2, block=4).collect()
     assert sorted((tuple(r) for r in got), key=repr) == want
 
 
