@@ -1,8 +1,14 @@
 """Run a layer job: ``python -m accrual <job> ...``.
 
+select  topic -> topic       the documents an ingest run takes
 silver  topic -> folder      documents to trials, sites and conditions
 gold    folder               histories and features from the silver tables
+check   folder               references between the tables that name nothing
+publish folder -> topics     the silver and gold tables as keyed records
+load    topic -> folder      one continuous load, until stopped or drained
+compact folder               fold a load's finished batches into a snapshot
 train   folder area_map      fit, evaluate and promote the model
+rank    folder plans ...     candidate sites of planned studies, ranked
 export  folder out           dashboard lists as CSV
 profile folder out           profiles of the gold tables as CSV
 """
@@ -12,53 +18,113 @@ from __future__ import annotations
 import argparse
 
 from accrual import schemas
-from accrual.ml import training
+from accrual.ml import ranking, training
 from accrual.operators.areas import AREAS
+from accrual.operators.joins import fk_violations
 from accrual.plans import gold, reports, silver
 from accrual.session import build_session
+from accrual.sources.landing import select_documents
 from accrual.sources.tables import export_csv, load_csv
-from accrual.sources.topics import read_topic
+from accrual.sources.topics import read_topic, write_topic
+from accrual.streaming import loads
 
+# Table, and the key its records are published under.
+PUBLISHED = {
+    "trials": "nct_id",
+    "trial_sites": "nct_id",
+    "dim_mesh_conditions": "mesh_condition_id",
+    "trial_features": "nct_id",
+}
 
-def _arguments() -> argparse.Namespace:
+
+def _arguments(given: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="accrual")
     jobs = parser.add_subparsers(dest="job", required=True)
-    job = jobs.add_parser("silver")
-    job.add_argument("folder")
-    job.add_argument("--topic", default="studies")
-    job.add_argument("--servers", help="Kafka bootstrap servers")
-    job.add_argument("--files", help="folder of topic files instead of Kafka")
-    job.add_argument("--file-format", default="json")
-    jobs.add_parser("gold").add_argument("folder")
-    job = jobs.add_parser("train")
-    job.add_argument("folder")
-    job.add_argument("area_map", help="CSV with area and mesh_id")
-    job.add_argument("--rounds", type=int, default=training.MAX_ITER)
-    for name in ("export", "profile"):
-        job = jobs.add_parser(name)
-        job.add_argument("folder")
-        job.add_argument("out")
-    return parser.parse_args()
-
-
-def main() -> None:
-    args = _arguments()
+
+    def job(name: str, *positional: str, topic: str | None = None) -> argparse.ArgumentParser:
+        added = jobs.add_parser(name)
+        for argument in positional:
+            added.add_argument(argument)
+        if topic:
+            added.add_argument("--topic", default=topic)
+            added.add_argument("--servers", help="Kafka bootstrap servers")
+            added.add_argument("--files", help="folder of topic files instead of Kafka")
+            added.add_argument("--file-format", default="json")
+        return added
+
+    added = job("select", "out", topic="studies")
+    added.add_argument("--run-date", required=True)
+    added.add_argument("--daily", action="store_true")
+    added.add_argument("--max-rows", type=int)
+    job("silver", "folder", topic="studies")
+    job("gold", "folder")
+    job("check", "folder")
+    job("publish", "folder", topic="accrual")
+    added = job("load", "name", "folder", topic="")
+    added.add_argument("--drain", action="store_true")
+    added = job("compact", "name", "folder")
+    added.add_argument("--trials", help="folder of the trials load, for sites")
+    added = job("train", "folder", "area_map")
+    added.add_argument("--rounds", type=int, default=training.MAX_ITER)
+    job("rank", "folder", "area_map", "plans", "choices", "out")
+    job("export", "folder", "out")
+    job("profile", "folder", "out")
+    return parser.parse_args(given)
+
+
+def main(given: list[str] | None = None) -> None:
+    args = _arguments(given)
     spark = build_session(f"accrual-{args.job}")
 
     def table(name):
         return spark.read.parquet(f"{args.folder}/{name}")
 
-    if args.job == "silver":
-        topic = read_topic(spark, args.topic, args.servers, args.files, args.file_format)
-        silver.write_silver(topic, args.folder)
+    def topic():
+        return read_topic(spark, args.topic, args.servers, args.files, args.file_format)
+
+    if args.job == "select":
+        chosen = select_documents(topic(), args.run_date, args.daily, args.max_rows)
+        chosen.write.mode("append").format(args.file_format).save(args.out)
+    elif args.job == "silver":
+        silver.write_silver(topic(), args.folder)
     elif args.job == "gold":
         gold.write_gold(table("trials"), table("trial_sites"), args.folder)
+    elif args.job == "check":
+        for child in ("trial_sites", "trial_features"):
+            fk_violations(table(child), table("trials"), ["nct_id"]).show(truncate=False)
+    elif args.job == "publish":
+        for name, key in PUBLISHED.items():
+            files = args.files and f"{args.files}/{name}"
+            write_topic(table(name), key, f"{args.topic}-{name}", args.servers, files, args.file_format)
+    elif args.job == "load":
+        source = {"files": args.files, "file_format": args.file_format}
+        if args.servers:
+            source = {"bootstrap_servers": args.servers}
+        name = args.topic or args.name
+        loads.start(spark, args.name, args.folder, args.drain, topic=name, **source).awaitTermination()
+    elif args.job == "compact":
+        parents = None
+        if args.trials:
+            parents = loads.current(spark, "trials", args.trials).select("nct_id", "version")
+        print(loads.compact(spark, args.name, args.folder, parents))
     elif args.job == "train":
         area_map = load_csv(spark, args.area_map, schemas.AREA_MAP)
         trained = training.train(table("trial_features"), area_map, AREAS, max_iter=args.rounds)
         trained.metrics.show(truncate=False)
         trained.importances.show(truncate=False)
         print(training.save(trained, f"{args.folder}/model"))
+    elif args.job == "rank":
+        model, defaults = training.load(spark, f"{args.folder}/model")
+        found = ranking.rank_sites(
+            spark.read.schema(schemas.PLANS).json(args.plans),
+            spark.read.schema("plan_id string, country string, city string").json(args.choices),
+            table("site_history"),
+            model,
+            defaults,
+            load_csv(spark, args.area_map, schemas.AREA_MAP),
+        )
+        for name, frame in found._asdict().items():
+            export_csv(frame, f"{args.out}/{name}")
     elif args.job == "export":
         reports.write_dashboard(
             table("trial_features"),

@@ -86,8 +86,8 @@ def city_list(pairs: DataFrame) -> DataFrame:
 
 
 def name_to_id(names: DataFrame, dim: DataFrame, name: str, dim_name: str, dim_id: str):
-    """``names`` with the id of each name; NULL where the dimension lacks it."""
-    wanted = dim.select(F.col(dim_name).alias(name), F.col(dim_id)).dropDuplicates([name])
+    """``names`` with the smallest id of each name; NULL where the dimension lacks it."""
+    wanted = dim.groupBy(F.col(dim_name).alias(name)).agg(F.min(dim_id).alias(dim_id))
     return names.join(wanted, name, "left")
 
 
@@ -97,16 +97,28 @@ def within_places(
     cities: list[str] | None = None,
     chosen: DataFrame | None = None,
 ) -> DataFrame:
-    """Sites in the chosen countries or cities.
+    """Sites in any of the chosen countries or cities.
 
     A choice made by hand is an IN list, which reaches the scan as a filter; a longer one comes
-    as ``chosen``, a frame with a ``country`` or ``city`` column, and is a semi join.
+    as ``chosen`` and is a semi join. Its rows name a ``country`` or a ``city``, or both where it
+    has both columns: a site is in such a place if it is in both, and a NULL part does not matter.
     """
     if chosen is not None:
-        key = "country" if "country" in chosen.columns else "city"
-        return sites.join(chosen.select(key), key, "left_semi")
-    if countries is not None:
-        return sites.filter(F.col("country").isin(countries))
-    if cities is not None:
-        return sites.filter(F.col("city").isin(cities))
-    raise ValueError("name countries, cities or a frame of them")
+        keys = [c for c in ("country", "city") if c in chosen.columns]
+        if not keys:
+            raise ValueError("chosen needs a column country or city")
+        if len(keys) == 1:
+            return sites.join(chosen.select(*keys), keys, "left_semi")
+        # One equi-join for each combination of named parts; a site is kept by any of them.
+        country, city = F.col("country").isNotNull(), F.col("city").isNotNull()
+        parts = [(country & city, keys), (country & ~city, ["country"]), (~country & city, ["city"])]
+        marked = sites
+        for i, (shape, on) in enumerate(parts):
+            wanted = chosen.filter(shape).select(*on).distinct().withColumn(f"_in{i}", F.lit(True))
+            marked = marked.join(wanted, on, "left")
+        found = F.coalesce(*[F.col(f"_in{i}") for i in range(len(parts))])
+        return marked.filter(found).select(*sites.columns)
+    tests = [F.col(c).isin(v) for c, v in (("country", countries), ("city", cities)) if v is not None]
+    if not tests:
+        raise ValueError("name countries, cities or a frame of them")
+    return sites.filter(tests[0] | tests[1] if len(tests) == 2 else tests[0])

@@ -7,11 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 256
-SKETCH_ITEMS = 2048
-SKETCH_GROUPS = 256
-MIN_HOT_ROWS = 100_000
-SALTS = 64
+# A key is hot when it holds more than one in PIECES of all rows, so there are fewer than PIECES.
+PIECES = 256
+# Rows without a key match nothing, so their salts need no copies on the other side.
+KEYLESS_SALTS = 1 << 20
 _HASH = "_key_hash"
 
 
@@ -19,45 +18,20 @@ def _key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(
-    fact: DataFrame,
-    keys: list[str],
-    min_rows: int = MIN_HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
+def hot_keys_of_counts(
+    counts: DataFrame, keys: list[str], rows: str, pieces: int = PIECES
 ) -> DataFrame:
-    """Hashes of the keys that hold at least ``min_rows`` rows; never more than ``max_keys`` of them.
+    """Hashes of the hot keys, and into how many salts to cut each so that none stays hot.
 
-    One scan of the key columns feeds a frequent-items sketch of fixed size per task; nothing is
-    shuffled by key. Sketches are merged in two steps, so no task receives one from every map
-    task. The list only decides which keys get salted: every row is joined either way, and a key
-    that ranks behind ``max_keys`` others holds less than ``1/max_keys`` of the rows.
+    ``counts`` has one row per key with its number of rows. Hot is relative to the sum of all rows, so
+    there are fewer than ``pieces`` hot keys at any size, and each gets salts by its own share.
     """
-    sketches = (
-        fact.select(_key_hash(keys).alias("k"), F.spark_partition_id().alias("p"))
-        .groupBy(F.pmod("p", F.lit(SKETCH_GROUPS)).alias("p"))
-        .agg(F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS})").alias("sketch"))
-    )
-    # Grouped by a constant, so that an empty input gives no sketch instead of a failing one.
-    merged = sketches.groupBy(F.lit("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
-    )
-    found = merged.select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {max_keys})")))
-    return found.filter(F.col("count") >= min_rows).select(F.col("item").alias(_HASH))
-
-
-def hot_keys_of_counts(
-    counts: DataFrame,
-    keys: list[str],
-    rows: str,
-    min_rows: int = MIN_HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """The same list from a stored table that has one row count per key."""
+    total = counts.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("total"))
+    share = F.greatest(F.lit(1), F.floor(total.scalar() / pieces))
     return (
-        counts.filter(F.col(rows) >= min_rows)
-        .orderBy(F.col(rows).desc(), *keys)
-        .limit(max_keys)
-        .select(_key_hash(keys).alias(_HASH))
+        counts.filter(F.col(rows) > share)
+        .groupBy(_key_hash(keys).alias(_HASH))
+        .agg(F.ceil(F.sum(rows) / share).cast("int").alias("_salts"))
     )
 
 
@@ -68,35 +42,32 @@ def salted_lookup(
     hot: DataFrame,
     spread_by: list[str],
     how: str = "left",
-    salts: int = SALTS,
 ) -> DataFrame:
-    """``fact.join(lookup, keys, how)`` with the rows of hot keys spread over ``salts`` tasks.
+    """``fact.join(lookup, keys, how)`` with the rows of hot keys spread over many tasks.
 
-    ``hot`` is the bounded list of :func:`hot_keys`, so broadcasting it is safe at any size of
-    ``fact``. Rows of a hot key take a salt from the hash of ``spread_by``; the lookup rows of a
-    hot key are repeated once per salt. Rows whose key holds a NULL can match nothing and are
-    spread the same way, instead of meeting in one task. Two keys with one hash are salted
-    alike on both sides.
+    ``hot`` is the list of :func:`hot_keys_of_counts`, which is bounded, so broadcasting it is safe at
+    any size of ``fact``. Rows of a hot key take a salt from the hash of ``spread_by``; the lookup
+    rows of a hot key are repeated once per salt. Rows whose key holds a NULL can match nothing and
+    are spread as well, instead of meeting in one task. Two keys with one hash are salted alike on
+    both sides.
     """
     if how not in ("left", "inner"):
         raise ValueError("salted_lookup supports left and inner joins")
-    marked = F.broadcast(hot.select(_HASH).distinct().withColumn("_hot", F.lit(True)))
+    marked = F.broadcast(hot)
     no_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    salts = F.coalesce("_salts", F.when(no_key, F.lit(KEYLESS_SALTS)).otherwise(1))
     left = (
         fact.withColumn(_HASH, _key_hash(keys))
         .join(marked, _HASH, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0)))
-        .drop("_hot", _HASH)
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        .withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int"))
+        .drop("_salts", _HASH)
     )
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     right = (
         lookup.withColumn(_HASH, _key_hash(keys))
         .join(marked, _HASH, "left")
         .withColumn("_salt", F.explode(copies))
-        .drop("_hot", _HASH)
+        .drop("_salts", _HASH)
     )
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 

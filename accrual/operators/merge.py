@@ -52,6 +52,28 @@ def merge_upsert(
     return merged.unionByName(_absent_from(incoming, target, keys))
 
 
+def merge_first(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Target with the batch applied: the record that is first by ``order`` wins per key.
+
+    The mirror image of ``merge_upsert``: what is kept does not depend on when it was merged.
+    """
+    columns = target.columns
+    incoming = latest_per_key(
+        batch.select(*columns).dropna(subset=keys), keys, [F.col(c).asc() for c in order]
+    )
+    renamed = incoming.select(*keys, F.struct(*columns).alias("_new"))
+    wins = F.coalesce(
+        F.struct(*[F.col("_new")[c] for c in order]) < F.struct(*order), F.lit(False)
+    )
+    merged = target.join(renamed, keys, "left").select(
+        *[
+            F.col(c) if c in keys else F.when(wins, F.col("_new")[c]).otherwise(F.col(c)).alias(c)
+            for c in columns
+        ]
+    )
+    return merged.unionByName(_absent_from(incoming, target, keys))
+
+
 def insert_absent(
     target: DataFrame, batch: DataFrame, keys: list[str], first: list[str]
 ) -> DataFrame:
@@ -94,10 +116,12 @@ def replace_children(
         *key, F.greatest("_delivered", "_stored").alias(version)
     )
     identity = [*key, version, ordinal]
-    current = (
-        children.select(*target.columns)
-        .join(newest, [*key, version], "left_semi")
-        .dropDuplicates(identity)
+    # Of one ordinal delivered with different contents, the smallest content stays.
+    rest = [F.col(c).asc() for c in target.columns if c not in identity]
+    current = latest_per_key(
+        children.select(*target.columns).join(newest, [*key, version], "left_semi"),
+        identity,
+        rest or [F.col(identity[-1]).asc()],
     )
     return kept.select(*target.columns).unionByName(_absent_from(current, target, identity))
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from accrual.functions.text import is_usable_facility
-from accrual.operators.joins import MIN_HOT_ROWS, hot_keys, hot_keys_of_counts, salted_lookup
+from accrual.operators.joins import hot_keys_of_counts, salted_lookup
 from accrual.operators.order_stats import running_totals
 from accrual.plans.silver import VELOCITY_CAP
+from accrual.schemas import GOLD_TRIAL_FEATURES
+from accrual.session import durable
 from accrual.sources.tables import refresh_table
 
 GEO = ["country", "city", "zip"]
@@ -31,22 +34,19 @@ def with_geo_key(sites: DataFrame) -> DataFrame:
 
 
 def sites_with_velocity(
-    sites: DataFrame, trials: DataFrame, orphans: str = "zero", hot_rows: int = MIN_HOT_ROWS
+    sites: DataFrame, trials: DataFrame, orphans: str = "zero"
 ) -> DataFrame:
     """Site rows with their trial's velocity and start date.
 
     A site whose trial is unknown counts with velocity 0 (``orphans="zero"``) or not at all
-    (``"drop"``). Trials with very many sites are joined salted.
+    (``"drop"``). A trial has about a thousand sites at most, so its key is never hot.
     """
     if orphans not in ("zero", "drop"):
         raise ValueError(f"orphans must be 'zero' or 'drop', not {orphans!r}")
-    joined = salted_lookup(
-        sites,
+    joined = sites.join(
         trials.select("nct_id", "trial_velocity", "start_date"),
-        ["nct_id"],
-        hot_keys(sites, ["nct_id"], hot_rows),
-        spread_by=[*GEO, "facility_name"],
-        how="left" if orphans == "zero" else "inner",
+        "nct_id",
+        "left" if orphans == "zero" else "inner",
     )
     return joined.withColumn("trial_velocity", F.coalesce("trial_velocity", F.lit(0.0)))
 
@@ -66,7 +66,7 @@ def site_history(
     """
     keyed = with_geo_key(sites)
     if distinct_trials:
-        keyed = keyed.dropDuplicates(["nct_id", *GEO])
+        keyed = keyed.groupBy("nct_id", *GEO).agg(*[F.min(c).alias(c) for c in DESCRIPTION])
     rows = sites_with_velocity(keyed, plausible_trials(trials), **join_options)
     described = rows.groupBy(*GEO, *DESCRIPTION).agg(
         F.count("nct_id").alias("_trials"),
@@ -92,9 +92,7 @@ def site_condition_history(sites: DataFrame) -> DataFrame:
     )
 
 
-def trial_site_stats(
-    sites: DataFrame, history: DataFrame, hot_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
+def trial_site_stats(sites: DataFrame, history: DataFrame) -> DataFrame:
     """Per trial: number of usable sites and the mean experience and velocity of its places.
 
     One pass over the sites gives both the count and the means: sites without a geo key find no
@@ -105,7 +103,7 @@ def trial_site_stats(
         sites.select("nct_id", *GEO),
         history.select(*GEO, "n_trials", "avg_velocity"),
         GEO,
-        hot_keys_of_counts(history, GEO, "n_trials", hot_rows),
+        hot_keys_of_counts(history, GEO, "n_trials"),
         spread_by=["nct_id"],
     )
     return joined.groupBy("nct_id").agg(
@@ -125,30 +123,14 @@ def trial_features(trials: DataFrame, stats: DataFrame) -> DataFrame:
     return (
         plausible_trials(trials)
         .join(complete, "nct_id")
-        .select(
-            "nct_id",
-            "study_type",
-            "primary_purpose",
-            "lead_sponsor_class",
-            "sex",
-            "phase",
-            F.col("enrollment_count").cast("int").alias("enrollment_count"),
-            F.col("n_sites").cast("int").alias("n_sites"),
-            F.col("enrollment_duration_months").cast("double").alias("duration_months"),
-            "mesh_conditions_ids",
-            F.col("has_non_diagnostic_condition").cast("boolean").alias(
-                "has_non_diagnostic_condition"
-            ),
-            F.col("avg_site_exp").cast("double").alias("avg_site_exp"),
-            F.col("avg_site_vel").cast("double").alias("avg_site_vel"),
-            F.col("trial_velocity").cast("double").alias("target_velocity"),
+        .withColumnsRenamed(
+            {"enrollment_duration_months": "duration_months", "trial_velocity": "target_velocity"}
         )
+        .to(StructType.fromDDL(GOLD_TRIAL_FEATURES))
     )
 
 
-def leave_one_out_stats(
-    sites: DataFrame, trials: DataFrame, hot_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
+def leave_one_out_stats(sites: DataFrame, trials: DataFrame) -> DataFrame:
     """Per trial: the site means with the trial's own site rows taken out of each place.
 
     A place's totals minus the trial's own share, so a trial's velocity never feeds its own
@@ -156,13 +138,19 @@ def leave_one_out_stats(
     both are NULL when no place has any.
     """
     rows = sites_with_velocity(with_geo_key(sites), plausible_trials(trials))
-    own = rows.groupBy("nct_id", *GEO).agg(
-        F.count("*").alias("own_n"), F.sum("trial_velocity").alias("own_velocity")
+    # Read as fact and below the place totals: built once.
+    own = durable(
+        rows.groupBy("nct_id", *GEO).agg(
+            F.count("*").alias("own_n"), F.sum("trial_velocity").alias("own_velocity")
+        )
     )
     place = own.groupBy(*GEO).agg(
-        F.sum("own_n").alias("all_n"), F.sum("own_velocity").alias("all_velocity")
+        F.sum("own_n").alias("all_n"),
+        F.sum("own_velocity").alias("all_velocity"),
+        F.count("*").alias("_own_rows"),
     )
-    joined = salted_lookup(own, place, GEO, hot_keys(sites, GEO, hot_rows), spread_by=["nct_id"])
+    hot = hot_keys_of_counts(place, GEO, "_own_rows")
+    joined = salted_lookup(own, place.drop("_own_rows"), GEO, hot, spread_by=["nct_id"])
     others = F.col("all_n") - F.col("own_n")
     mean_of_others = F.when(
         others > 0, (F.col("all_velocity") - F.col("own_velocity")) / others
@@ -177,32 +165,29 @@ def leave_one_out_stats(
 
 
 def as_of_stats(
-    sites: DataFrame, trials: DataFrame, hot_rows: int = MIN_HOT_ROWS
+    sites: DataFrame, trials: DataFrame, velocity_scale: int = VELOCITY_SCALE
 ) -> DataFrame:
     """Per trial: site means over the trials completed before this one started.
 
     Completions and questions ("what was known at this place on this day?") run through one
     ordered pass per place, range-partitioned so that a place of any size spans many tasks.
-    Velocities have four decimals, so they are summed as whole ten-thousandths, exactly.
+    Velocities are summed as whole parts of ``1 / velocity_scale``, exactly; the default fits the
+    four decimals of the silver layer, and finer values are rounded to the scale.
     """
     keyed = with_geo_key(sites).select("nct_id", *GEO)
-    rows = salted_lookup(
-        keyed,
+    rows = keyed.join(
         plausible_trials(trials).select(
             "nct_id", "trial_velocity", "start_date", "primary_completion_date"
         ),
-        ["nct_id"],
-        hot_keys(keyed, ["nct_id"], hot_rows),
-        spread_by=GEO,
-        how="inner",
+        "nct_id",
     )
-    ten_thousandths = F.round(F.col("trial_velocity") * VELOCITY_SCALE).cast("bigint")
+    parts = F.round(F.col("trial_velocity") * velocity_scale).cast("bigint")
     # A completion counts from the next day on.
     known = rows.groupBy(*GEO, F.date_add("primary_completion_date", 1).alias("day")).agg(
         F.lit("").alias("nct_id"),
         F.lit(0).cast("bigint").alias("asked"),
         F.count("*").alias("done"),
-        F.sum(ten_thousandths).alias("done_velocity"),
+        F.sum(parts).alias("done_velocity"),
     )
     questions = rows.groupBy(*GEO, F.col("start_date").alias("day"), "nct_id").agg(
         F.count("*").alias("asked"),
@@ -217,7 +202,7 @@ def as_of_stats(
         [F.col("day"), F.col("nct_id")],
         {"seen": F.col("done"), "seen_velocity": F.col("done_velocity")},
     ).filter((F.col("asked") > 0) & (F.col("seen") > 0))
-    mean = F.col("seen_velocity") / F.lit(float(VELOCITY_SCALE)) / F.col("seen")
+    mean = F.col("seen_velocity") / F.lit(float(velocity_scale)) / F.col("seen")
     return seen.groupBy("nct_id").agg(
         (F.sum(F.col("seen") * F.col("asked")) / F.sum("asked")).alias("avg_site_exp"),
         (F.sum(mean * F.col("asked")) / F.sum("asked")).alias("avg_site_vel"),

@@ -20,7 +20,7 @@ from accrual.functions import (
 from accrual.operators.dims import dimension_from_lists, one_name_per_id
 from accrual.operators.latest import latest_per_key
 from accrual.sources.tables import refresh_table, stamped
-from accrual.sources.topics import decode_json
+from accrual.sources.topics import CORRUPT, decode_json
 
 # Fill-ins for missing text and the velocity above which a trial is an outlier.
 SITE_DEFAULTS = {
@@ -166,6 +166,19 @@ def clean_studies(
     )
 
 
+def doubtful_studies(topic: DataFrame) -> DataFrame:
+    """Topic rows that ``clean_studies`` cannot use, or uses without a field of the wrong type."""
+    decoded = decode_json(topic, schemas.STUDY)
+    study = F.col("data.protocolSection.identificationModule.nctId")
+    reason = (
+        F.when(F.col("data").isNull(), "undecodable")
+        .when(study.isNull(), "missing id")
+        .when(F.col(CORRUPT).isNotNull(), "field of the wrong type")
+    )
+    kept = decoded.select(*topic.columns, reason.alias("reason"))
+    return kept.filter(F.col("reason").isNotNull())
+
+
 def trials_table(studies: DataFrame) -> DataFrame:
     """One row per trial."""
     return studies.select(*TRIAL_COLUMNS)
@@ -209,10 +222,14 @@ def conditions_table(studies: DataFrame) -> DataFrame:
 def write_silver(topic: DataFrame, folder: str, **options) -> None:
     """Write the silver layer below ``folder``.
 
+    Documents that cannot be decoded or have no id go to ``quarantine``; those that only lost a field
+    of the wrong type are used, and noted there as well.
+
     The cleaned documents are written once and the three tables read them back, so nothing is
     decoded twice and a lost executor costs only its own tasks.
     """
     spark = topic.sparkSession
+    refresh_table(doubtful_studies(topic), f"{folder}/quarantine")
     refresh_table(clean_studies(topic, **options), f"{folder}/studies")
     studies = spark.read.parquet(f"{folder}/studies")
     refresh_table(stamped(trials_table(studies)), f"{folder}/trials")

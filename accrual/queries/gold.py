@@ -55,17 +55,19 @@ def site_history(spark, sf_dir):
 @query(
     "site_history_distinct",
     f"""WITH {TRIALS_SQL}, {SITES_SQL},
-once AS (SELECT DISTINCT nct_id, country, city, zip FROM keyed)
-SELECT country, city, zip, count(*) AS n_trials, round(avg(velocity) + 1e-9, 6) AS avg_velocity
-FROM once JOIN trials USING (nct_id) GROUP BY ALL""",
+once AS (SELECT nct_id, country, city, zip, min(facility) AS facility, min(state) AS low_state,
+                min(lat) AS lat, min(lon) AS lon FROM keyed GROUP BY nct_id, country, city, zip)
+SELECT country, city, zip, min(facility) AS facility_name, min(low_state) AS state,
+       min(lat) AS latitude, min(lon) AS longitude, count(*) AS n_trials,
+       round(avg(velocity) + 1e-9, 6) AS avg_velocity,
+       CAST(max(year(started)) AS INTEGER) AS last_year
+FROM once JOIN trials USING (nct_id) GROUP BY country, city, zip""",
 )
 def site_history_distinct(spark, sf_dir):
     history = gold.site_history(
         _usable(spark, sf_dir), shapes.trials(spark, sf_dir), distinct_trials=True, orphans="drop"
     )
-    return history.select(
-        "country", "city", "zip", "n_trials", settled("avg_velocity")
-    )
+    return history.withColumn("avg_velocity", settled("avg_velocity"))
 
 
 @query(
@@ -317,7 +319,8 @@ def geo_semi_filter(spark, sf_dir):
     """SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, min(s.s_name) AS s_name, min(s2.s_suppkey) AS found_id
 FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem) l
 LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
-LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s2 ON s2.s_name = s.s_name GROUP BY 1, 2, 3""",
+LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s2
+  ON right(s2.s_name, 1) = right(s.s_name, 1) GROUP BY 1, 2, 3""",
 )
 def name_lookup(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier")
@@ -327,10 +330,13 @@ def name_lookup(spark, sf_dir):
     named = rows.join(
         supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey", "left"
     )
+    # Names cut to their last character repeat; the smallest id of each counts.
+    last = F.substring("s_name", -1, 1)
     known = supplier.filter(F.col("s_acctbal") > 0).select(
-        "s_name", F.col("s_suppkey").alias("found_id")
+        last.alias("short"), F.col("s_suppkey").alias("found_id")
     )
-    return dims.name_to_id(named, known, "s_name", "s_name", "found_id").select(
+    named = named.withColumn("short", last)
+    return dims.name_to_id(named, known, "short", "short", "found_id").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "s_name", "found_id"
     )
 
@@ -365,23 +371,24 @@ FROM (SELECT nct_id, unnest(ids) AS mesh_id FROM raw_trials) LEFT JOIN m USING (
 @query("area_multihot", AREA_SQL)
 def area_multihot_default(spark, sf_dir):
     trials = shapes.raw_trials(spark, sf_dir).select("nct_id", "mesh_conditions_ids")
-    marked = area_multihot(
-        trials, _area_map(spark, sf_dir), "mesh_conditions_ids", ["nct_id"], AREA_KEYS
-    )
+    marked = area_multihot(trials, _area_map(spark, sf_dir), "mesh_conditions_ids", AREA_KEYS)
     return marked.drop("mesh_conditions_ids")
 
 
-@query("area_multihot_join", AREA_SQL)
-def area_multihot_joined(spark, sf_dir):
-    trials = shapes.raw_trials(spark, sf_dir).select("nct_id", "mesh_conditions_ids")
-    marked = area_multihot(
-        trials,
-        _area_map(spark, sf_dir),
-        "mesh_conditions_ids",
-        ["nct_id"],
-        AREA_KEYS,
-        inline_limit=0,
+@query(
+    "area_multihot_repeated",
+    f"""WITH flags AS ({AREA_SQL})
+SELECT CASE WHEN nct_id LIKE '%0' THEN NULL ELSE left(nct_id, 4) END AS nct_id, flags.* EXCLUDE (nct_id)
+FROM flags""",
+)
+def area_multihot_repeated(spark, sf_dir):
+    """Rows with repeated and NULL keys: every row has the flags of its own list."""
+    short = F.when(~F.col("nct_id").endswith("0"), F.substring("nct_id", 1, 4))
+    trials = shapes.raw_trials(spark, sf_dir).select(short.alias("nct_id"), "mesh_conditions_ids")
+    known = _area_map(spark, sf_dir).unionByName(
+        _area_map(spark, sf_dir).select("area", F.lit(None).cast("string").alias("mesh_id"))
     )
+    marked = area_multihot(trials, known, "mesh_conditions_ids", AREA_KEYS)
     return marked.drop("mesh_conditions_ids")
 
 

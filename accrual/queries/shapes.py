@@ -132,10 +132,9 @@ def study_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     )
     # Every line has its order, part and supplier. Left joins keep the lines on the streamed side
-    # of each join, however small their file is. Lines and orders grow together, so they meet in
-    # a sort-merge join at any size; it also spreads the document building over all tasks.
+    # of each join, however small their file is.
     rows = (
-        lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"], "left")
+        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "left")
         .join(part, lines["l_partkey"] == part["p_partkey"], "left")
         .join(places(spark, sf_dir), "l_suppkey", "left")
     )

@@ -92,8 +92,9 @@ def decode_json(
 ) -> DataFrame:
     """Topic rows plus ``data`` (the decoded struct) and ``_corrupt_record``.
 
-    Unknown fields are dropped and missing ones are NULL. Undecodable text leaves ``data``
-    NULL and keeps the text in ``_corrupt_record``; ``mode="FAILFAST"`` raises instead.
+    Unknown fields are dropped and missing ones are NULL. A field of the wrong type is NULL too and
+    the rest of its document stays; the text is then kept in ``_corrupt_record`` as a warning. Only
+    text that is not one JSON object leaves ``data`` NULL. ``mode="FAILFAST"`` raises instead.
     """
     value = unwrap_envelope("value") if envelope else F.col("value")
     if mode == "FAILFAST":
@@ -104,14 +105,22 @@ def decode_json(
     parsed = F.from_json(
         value, f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
     )
-    bad = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
+    # The second look at the text is only taken where the first one found fault.
+    faulty = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
+    readable = F.when(faulty, is_json_object(value)).otherwise(True)
     return _computed_once(topic, {"_parsed": parsed}).select(
         *topic.columns,
-        F.when(~bad, F.col("_parsed")).alias("data"),
-        F.when(bad & F.col("value").isNotNull(), F.col("value")).alias(CORRUPT),
+        F.when(readable, F.col("_parsed")).alias("data"),
+        F.when(faulty & F.col("value").isNotNull(), F.col("value")).alias(CORRUPT),
     )
 
 
+def is_json_object(text: Column) -> Column:
+    """Whether ``text`` is exactly one JSON object, with nothing after it. Never NULL."""
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return F.coalesce(alone & F.ltrim(text).startswith("{"), F.lit(False))
+
+
 def _computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """``df`` plus columns that later filters read instead of computing again.
 
@@ -126,10 +135,10 @@ def _computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def split_bad_records(decoded: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """(good, quarantined): bad rows are undecodable or lack a required field of ``data``.
 
-    Quarantined rows carry a ``reason``. Both frames are lazy filters over the same decode;
+    Rows that lost only a field of the wrong type are good. Quarantined rows carry a ``reason``. Both frames are lazy filters over the same decode;
     persist ``decoded`` when both are going to be written.
     """
-    reason = F.when(F.col(CORRUPT).isNotNull() | F.col("data").isNull(), F.lit("undecodable"))
+    reason = F.when(F.col("data").isNull(), F.lit("undecodable"))
     for field in required:
         reason = F.coalesce(
             reason, F.when(F.col(f"data.{field}").isNull(), F.lit(f"missing {field}"))
@@ -159,7 +168,10 @@ def write_topic(
     mode: str = "append",
     **options: str,
 ) -> None:
-    """Write every row as a keyed JSON record, to Kafka or to files."""
+    """Write every row as a keyed JSON record, to Kafka or to files.
+
+    ``options`` go to the sink, among them any ``kafka.`` producer setting.
+    """
     records = keyed_json(df, key)
     if files is not None:
         records.write.mode(mode).format(file_format).options(**options).save(files)
@@ -168,9 +180,6 @@ def write_topic(
         records.write.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("topic", topic)
-        .option("kafka.acks", "1")
-        .option("kafka.batch.size", "65536")
-        .option("kafka.linger.ms", "10")
         .options(**options)
         .save()
     )

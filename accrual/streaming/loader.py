@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from accrual.operators.latest import latest_per_key
-from accrual.operators.merge import insert_absent, merge_upsert, replace_children
-from accrual.sources.landing import land_raw
+from accrual.operators.merge import merge_first, merge_upsert, replace_children, upsert_raw
+from accrual.sources.landing import land_raw, reject_raw
 from accrual.sources.topics import CORRUPT, decode_json, split_bad_records
 
 ARRIVAL = ["timestamp", "partition", "offset"]
+FILES_PER_BATCH = 4
 
 
 def newest_first() -> list[Column]:
@@ -69,16 +70,21 @@ def record_changes(
 
 
 def record_raw(folder: str) -> Callable[[DataFrame, int], None]:
-    """A batch writer: whole documents with id and content hash to ``folder/changes``."""
+    """A batch writer: whole documents with id and content hash to ``folder/changes``, the others to
+    ``folder/quarantine``."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         _write_batch(land_raw(batch), f"{folder}/changes", batch_id)
+        _write_batch(reject_raw(batch), f"{folder}/quarantine", batch_id)
+        batch.unpersist()
 
     return apply
 
 
 def _write_batch(rows: DataFrame, path: str, batch_id: int, drop: list[str] | None = None) -> None:
-    rows.drop(*(drop or [])).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Write a batch as one folder of at most ``FILES_PER_BATCH`` files."""
+    rows.drop(*(drop or [])).coalesce(FILES_PER_BATCH).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def _read(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame | None:
@@ -90,12 +96,46 @@ def _read(spark: SparkSession, path: str, file_format: str = "parquet") -> DataF
         raise
 
 
-def changes(spark: SparkSession, folder: str) -> DataFrame:
-    """Changes not yet in a snapshot, with their ``batch_id``."""
-    rows = spark.read.parquet(f"{folder}/changes")
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, by the file system that Spark uses for it; none if there is no folder."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def batches(spark: SparkSession, folder: str) -> list[int]:
+    """Batches whose folders are there, in order; ``prune`` keeps them few."""
+    names = _children(spark, f"{folder}/changes")
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+
+
+def committed(spark: SparkSession, checkpoint: str) -> int | None:
+    """The last batch that the load with this checkpoint has finished."""
+    done = [int(n) for n in _children(spark, f"{checkpoint}/commits") if n.isdigit()]
+    return max(done, default=None)
+
+
+def changes(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    """Changes not yet in a snapshot (and of batches to ``upto`` at most), with their ``batch_id``.
+
+    Only the folders of those batches are named to Spark; older ones are neither listed nor read.
+    """
     through = _snapshot_through(spark, folder)
-    # A filter on the batch folder: compacted batches are not even listed for reading.
-    return rows if through is None else rows.filter(F.col("batch_id") > through)
+    there = batches(spark, folder)
+    if not there:
+        raise FileNotFoundError(f"nothing was loaded into {folder}")
+    wanted = [
+        b for b in there if (through is None or b > through) and (upto is None or b <= upto)
+    ]
+    reader = spark.read.option("basePath", f"{folder}/changes")
+    if not wanted:
+        return reader.parquet(f"{folder}/changes/batch_id={there[-1]}").limit(0)
+    return reader.parquet(*[f"{folder}/changes/batch_id={b}" for b in wanted])
 
 
 def _snapshot_through(spark: SparkSession, folder: str) -> int | None:
@@ -109,29 +149,35 @@ def _snapshot(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def current_rows(
-    spark: SparkSession, folder: str, keys: list[str], first_wins: bool = False
+    spark: SparkSession,
+    folder: str,
+    keys: list[str],
+    first_wins: bool = False,
+    upto: int | None = None,
 ) -> DataFrame:
     """The table as of now: the newest record per key.
 
-    ``first_wins`` keeps the oldest record of a key instead. See ``merge_upsert`` for how the
-    changes meet the snapshot.
+    ``first_wins`` keeps the oldest record of a key instead. See ``merge_upsert`` and
+    ``merge_first`` for how the changes meet the snapshot; when snapshots were made does not matter.
     """
-    fresh = changes(spark, folder).drop("batch_id")
+    fresh = changes(spark, folder, upto).drop("batch_id")
     base = _snapshot(spark, folder)
     if base is None:
         order = oldest_first() if first_wins else newest_first()
         return latest_per_key(fresh.dropna(subset=keys), keys, order)
     if first_wins:
-        return insert_absent(base, fresh, keys, ARRIVAL)
+        return merge_first(base, fresh, keys, ARRIVAL)
     return merge_upsert(base, fresh, keys, ARRIVAL)
 
 
-def current_raw(spark: SparkSession, folder: str) -> DataFrame:
+def current_raw(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
     """Raw documents as of now: newest payload per id, with the time the id was first received."""
-    rows = spark.read.parquet(f"{folder}/changes").drop("batch_id")
+    rows = changes(spark, folder, upto).drop("batch_id")
     first = rows.groupBy("nct_id").agg(F.min("received_at").alias("received_at"))
     newest = latest_per_key(rows, ["nct_id"], [*newest_first(), F.col("payload_hash").desc()])
-    return newest.drop("received_at").join(first, "nct_id")
+    fresh = newest.drop("received_at").join(first, "nct_id").select(*rows.columns)
+    base = _snapshot(spark, folder)
+    return fresh if base is None else upsert_raw(base, fresh)
 
 
 def current_children(
@@ -141,34 +187,61 @@ def current_children(
     key: list[str],
     version: str,
     ordinal: str,
+    upto: int | None = None,
 ) -> DataFrame:
     """Child rows of each parent's newest version; ``parents`` lists (key, version) of all parent
     records, so a version that has no children clears the older ones."""
-    fresh = changes(spark, folder).drop("batch_id", *ARRIVAL)
+    fresh = changes(spark, folder, upto).drop("batch_id", *ARRIVAL)
     base = _snapshot(spark, folder)
     target = fresh.limit(0) if base is None else base
     return replace_children(target, parents, fresh, key, version, ordinal)
 
 
-def compact(spark: SparkSession, folder: str, current: Callable[[], DataFrame]) -> int:
-    """Write what ``current`` returns as the new snapshot; returns the batch it reaches through.
-
-    ``current`` calls ``current_rows`` or ``current_children``. It is called after the last batch
-    number is read, so a batch that arrives meanwhile is at worst applied twice. The new
-    snapshot is a new folder, and it counts from the moment its number is appended to the list
-    of finished ones, so a reader or a crash in between still finds the previous state. With no
-    new batch there is nothing to do: the snapshot being read is never overwritten. A load
-    must not be writing its batch at that moment; run it between loads.
+def compact(
+    spark: SparkSession,
+    folder: str,
+    current: Callable[[int], DataFrame],
+    checkpoint: str | None = None,
+) -> int:
+    """Write ``current(through)`` as the new snapshot; returns the batch it reaches through.
+
+    ``current`` calls ``current_rows``, ``current_children`` or ``current_raw`` with ``upto``. With the
+    ``checkpoint`` of a load only batches that the load has committed are taken, so it may be writing
+    its next one meanwhile; without one no load may be running. The snapshot is a new folder, and it
+    counts from the moment its number is appended to the list of finished ones, so a reader or a crash
+    in between still finds the previous state. With no new batch there is nothing to do.
     """
-    through = spark.read.parquet(f"{folder}/changes").agg(F.max("batch_id")).first()[0]
-    if through == _snapshot_through(spark, folder):
-        return through
-    current().write.mode("overwrite").parquet(f"{folder}/snapshots/{through}")
+    through = max(batches(spark, folder), default=None)
+    if checkpoint is not None:
+        done = committed(spark, checkpoint)
+        through = done if through is None or done is None else min(through, done)
+    before = _snapshot_through(spark, folder)
+    if through is None or (before is not None and through <= before):
+        return before
+    current(through).write.mode("overwrite").parquet(f"{folder}/snapshots/{through}")
     done = spark.range(1).select(F.lit(through).cast("bigint").alias("through"))
     done.coalesce(1).write.mode("append").json(f"{folder}/snapshots_done")
     return through
 
 
+def prune(spark: SparkSession, folder: str, keep_snapshots: int = 2) -> None:
+    """Delete batches that the oldest kept snapshot holds, and snapshots before it.
+
+    Run it when no reader is on a snapshot older than the last ``keep_snapshots``.
+    """
+    names = _children(spark, f"{folder}/snapshots")
+    through = _snapshot_through(spark, folder)
+    kept = sorted(int(n) for n in names if n.isdigit() and int(n) <= (through or -1))[-keep_snapshots:]
+    if not kept:
+        return
+    for name in names:
+        if name.isdigit() and int(name) < kept[0]:
+            _delete(spark, f"{folder}/snapshots/{name}")
+    for batch in batches(spark, folder):
+        if batch <= kept[0] and batch != max(batches(spark, folder)):
+            _delete(spark, f"{folder}/changes/batch_id={batch}")
+
+
 def streaming_latest(records: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Newest record per key as a streaming aggregate, for update-mode sinks.
 

@@ -23,7 +23,7 @@ class Load:
 
 
 LOADS = {
-    "trials": Load(schemas.SILVER_TRIALS, ("nct_id",), ("nct_id",)),
+    "trials": Load(f"{schemas.SILVER_TRIALS}, version timestamp", ("nct_id",), ("nct_id",)),
     "sites": Load(
         f"{schemas.SILVER_SITES}, site_ordinal int, version timestamp", ("nct_id",), ("nct_id",)
     ),
@@ -55,16 +55,35 @@ def start(
 
 
 def current(
-    spark: SparkSession, name: str, folder: str, parents: DataFrame | None = None
+    spark: SparkSession,
+    name: str,
+    folder: str,
+    parents: DataFrame | None = None,
+    upto: int | None = None,
 ) -> DataFrame:
-    """The loaded table as of now. Sites also take (nct_id, version) of all trial deliveries."""
+    """The loaded table as of now. Sites also take (nct_id, version) of all trial deliveries, which
+    are the ``version`` and key of the trials load."""
     if name == "raw":
-        return loader.current_raw(spark, folder)
+        return loader.current_raw(spark, folder, upto)
     load = LOADS[name]
     if name == "sites":
         if parents is None:
-            parents = loader.changes(spark, folder).select("nct_id", "version")
+            parents = loader.changes(spark, folder, upto).select("nct_id", "version")
         return loader.current_children(
-            spark, folder, parents, ["nct_id"], "version", "site_ordinal"
+            spark, folder, parents, ["nct_id"], "version", "site_ordinal", upto
         )
-    return loader.current_rows(spark, folder, list(load.keys), first_wins=load.first_wins)
+    return loader.current_rows(spark, folder, list(load.keys), load.first_wins, upto)
+
+
+def compact(
+    spark: SparkSession, name: str, folder: str, parents: DataFrame | None = None
+) -> int | None:
+    """Fold the load's committed batches into a snapshot and delete what no snapshot needs."""
+    through = loader.compact(
+        spark,
+        folder,
+        lambda upto: current(spark, name, folder, parents, upto),
+        f"{folder}/checkpoint",
+    )
+    loader.prune(spark, folder)
+    return through

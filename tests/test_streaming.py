@@ -66,7 +66,7 @@ def test_replayed_batch_and_compaction(spark, tmp_path):
     apply(batch, 0)
     assert spark.read.parquet(f"{folder}/changes").count() == 2
     before = rows(loader.current_rows(spark, folder, ["nct_id"]), "nct_id", "enrollment_count")
-    newest = lambda: loader.current_rows(spark, folder, ["nct_id"])
+    newest = lambda upto=None: loader.current_rows(spark, folder, ["nct_id"], upto=upto)
     reached = loader.compact(spark, folder, newest)
     assert loader.compact(spark, folder, newest) == reached
     assert loader.changes(spark, folder).count() == 0
@@ -116,7 +116,7 @@ def test_children_follow_their_parents_newest_version(spark, tmp_path):
         return loader.current_children(spark, folder, parents, ["nct_id"], "version", "site_ordinal")
 
     assert rows(current(1, 2), "site_ordinal", "city") == [(0, "Rome"), (1, "Rome")]
-    loader.compact(spark, folder, lambda: current(1, 2))
+    loader.compact(spark, folder, lambda upto: current(1, 2))
     assert rows(current(1, 2), "site_ordinal", "city") == [(0, "Rome"), (1, "Rome")]
     assert current(1, 2, 3).count() == 0
 
