@@ -62,9 +62,8 @@ def merge_first(target: DataFrame, batch: DataFrame, keys: list[str], order: lis
         batch.select(*columns).dropna(subset=keys), keys, [F.col(c).asc() for c in order]
     )
     renamed = incoming.select(*keys, F.struct(*columns).alias("_new"))
-    wins = F.coalesce(
-        F.struct(*[F.col("_new")[c] for c in order]) < F.struct(*order), F.lit(False)
-    )
+    earlier = F.struct(*[F.col("_new")[c] for c in order]) < F.struct(*order)
+    wins = F.col("_new").isNotNull() & F.coalesce(earlier, F.lit(False))
     merged = target.join(renamed, keys, "left").select(
         *[
             F.col(c) if c in keys else F.when(wins, F.col("_new")[c]).otherwise(F.col(c)).alias(c)

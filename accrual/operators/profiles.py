@@ -155,11 +155,15 @@ def categorical_profile(
         F.count("value").alias("n_distinct"),
         F.max(F.when(F.col("value").isNotNull(), F.col("n"))).alias("_top"),
     )
-    place = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
+    # NULL comes last and is left out after ranking: a filter before it would keep the two uses of
+    # the counts from sharing one aggregation.
+    place = Window.partitionBy("column").orderBy(
+        F.col("value").isNull(), F.col("n").desc(), F.col("value")
+    )
     listed = (
-        counts.filter(F.col("value").isNotNull())
-        .withColumn("place", F.row_number().over(place))
+        counts.withColumn("place", F.row_number().over(place))
         .filter(F.col("place") <= shown)
+        .filter(F.col("value").isNotNull())
     )
     known = F.col("row_count") - F.col("null_count")
     # Both sides are bounded: one row per column against at most ``shown`` per column.

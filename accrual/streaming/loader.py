@@ -231,14 +231,15 @@ def prune(spark: SparkSession, folder: str, keep_snapshots: int = 2) -> None:
     """
     names = _children(spark, f"{folder}/snapshots")
     through = _snapshot_through(spark, folder)
-    kept = sorted(int(n) for n in names if n.isdigit() and int(n) <= (through or -1))[-keep_snapshots:]
-    if not kept:
+    if through is None:
         return
+    kept = sorted(int(n) for n in names if n.isdigit() and int(n) <= through)[-keep_snapshots:]
     for name in names:
         if name.isdigit() and int(name) < kept[0]:
             _delete(spark, f"{folder}/snapshots/{name}")
-    for batch in batches(spark, folder):
-        if batch <= kept[0] and batch != max(batches(spark, folder)):
+    # The newest batch stays: with nothing newer, its folder gives the table's columns.
+    for batch in batches(spark, folder)[:-1]:
+        if batch <= kept[0]:
             _delete(spark, f"{folder}/changes/batch_id={batch}")
 
 

@@ -291,6 +291,14 @@ def test_areas(spark):
     ]
 
 
+def test_smallest_id_of_a_name(spark):
+    names = spark.createDataFrame([("a",), ("z",)], "n string")
+    dim = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "d string, id int")
+    for order in ("id", "-id"):
+        got = dims.name_to_id(names, dim.orderBy(F.expr(order)), "n", "d", "id")
+        assert rows(got) == [("a", 1), ("z", None)]
+
+
 def test_empty_area_map(spark):
     df = spark.createDataFrame([("A", ["D1"])], "nct_id string, ids array<string>")
     mapping = spark.createDataFrame([], "area string, mesh_id string")
@@ -305,6 +313,8 @@ def test_place_filters(spark):
     assert dims.within_places(sites, countries=["IT"], cities=["Paris"]).count() == 2
     chosen = spark.createDataFrame([("Rome",)], "city string")
     assert rows(dims.within_places(sites, chosen=chosen), "country") == [("IT",)]
+    both = spark.createDataFrame([("IT", None), ("FR", "Nice")], "country string, city string")
+    assert rows(dims.within_places(sites, chosen=both), "country") == [("IT",)]
     with pytest.raises(ValueError):
         dims.within_places(sites)
 

@@ -145,6 +145,20 @@ def test_documents_without_id_or_json_drop_out(spark):
     assert bad.filter("offset = 1").first()[CORRUPT] == "{not json"
 
 
+def test_a_field_of_the_wrong_type_keeps_its_document(spark):
+    odd = study("N2")
+    odd["protocolSection"]["contactsLocationsModule"] = {
+        "locations": [{"facility": "F", "city": "Rome", "country": "IT", "geoPoint": {"lat": "x", "lon": 2.0}}]
+    }
+    frame = topic(spark, [(study(), 0, 1), (json.dumps(odd), 0, 2), ('{"a": 1} tail', 0, 3)])
+    studies = silver.clean_studies(frame)
+    assert rows(studies, "nct_id") == [("N1",), ("N2",)]
+    site = silver.sites_table(studies).filter("nct_id = 'N2'").first()
+    assert (site["latitude"], site["longitude"], site["facility_name"]) == (0.0, 2.0, "F")
+    doubtful = silver.doubtful_studies(frame)
+    assert rows(doubtful, "offset", "reason") == [(2, "field of the wrong type"), (3, "missing id")]
+
+
 def test_failfast_raises(spark):
     frame = topic(spark, [("{not json", 0, 1)])
     with pytest.raises(Exception, match="MALFORMED_RECORD"):

@@ -96,6 +96,55 @@ def test_first_name_wins(spark, tmp_path):
     assert spark.read.parquet(f"{folder}/quarantine").count() == 1
 
 
+@pytest.mark.parametrize("compact_after", [(), (0,), (1,), (0, 1)])
+def test_first_name_does_not_depend_on_snapshots(spark, tmp_path, compact_after):
+    folder, key = str(tmp_path), ["mesh_condition_id"]
+    late = {"mesh_condition_id": "D1", "mesh_condition_name": "late"}
+    early = {"mesh_condition_id": "D1", "mesh_condition_name": "early"}
+    required = ["mesh_condition_id", "mesh_condition_name"]
+    apply = loader.record_changes(folder, schemas.GOLD_DIM_CONDITIONS, required)
+    current = lambda upto=None: loader.current_rows(spark, folder, key, True, upto)
+    for batch, record in enumerate([(late, 5, 5), (early, 1, 1)]):
+        deliver(spark, folder, batch, [record])
+        drain(spark, folder, apply)
+        if batch in compact_after:
+            loader.compact(spark, folder, current, f"{folder}/checkpoint")
+            loader.prune(spark, folder, keep_snapshots=1)
+    assert rows(current(), *required) == [("D1", "early")]
+
+
+def test_compaction_takes_committed_batches_only(spark, tmp_path):
+    folder = str(tmp_path)
+    apply = loader.record_changes(folder, TRIAL, ["nct_id"])
+    deliver(spark, folder, 0, RECORDS[:2])
+    drain(spark, folder, apply)
+    assert loader.committed(spark, f"{folder}/checkpoint") == 0
+    # A batch that is written and not committed, as while a load is running.
+    deliver(spark, folder, 1, RECORDS[2:4])
+    apply(spark.read.schema(schemas.TOPIC).json(f"{folder}/in"), 1)
+    newest = lambda upto=None: loader.current_rows(spark, folder, ["nct_id"], upto=upto)
+    assert loader.compact(spark, folder, newest, f"{folder}/checkpoint") == 0
+    assert loader.batches(spark, folder) == [0, 1]
+    loader.prune(spark, folder)
+    assert loader.batches(spark, folder) == [1]
+    assert rows(newest(), "nct_id", "enrollment_count") == [("A", 3), ("B", 5)]
+
+
+def test_raw_snapshot_and_quarantine(spark, tmp_path):
+    folder = str(tmp_path)
+    study = {"protocolSection": {"identificationModule": {"nctId": "N1"}}}
+    deliver(spark, folder, 0, [(study, 1, 1), ({}, 1, 2)])
+    drain(spark, folder, loader.record_raw(folder))
+    assert rows(spark.read.parquet(f"{folder}/quarantine"), "offset", "reason") == [(2, "missing id")]
+    current = lambda upto=None: loader.current_raw(spark, folder, upto)
+    before = current().first()["received_at"]
+    loader.compact(spark, folder, current)
+    deliver(spark, folder, 1, [(study | {"extra": 1}, 2, 3)])
+    drain(spark, folder, loader.record_raw(folder))
+    assert rows(current(), "nct_id", "offset") == [("N1", 3)]
+    assert current().first()["received_at"] == before
+
+
 def test_children_follow_their_parents_newest_version(spark, tmp_path):
     folder = str(tmp_path)
     site = "nct_id string, version int, site_ordinal int, city string"
