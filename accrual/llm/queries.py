@@ -97,6 +97,72 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
+_SQL_LETTERS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, {5 * part + 1}, 5) AS INTEGER)"
+    f" >> {shift}) & 31) + 1, 1)"
+    for part in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+OP3_SQL = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {_SQL_LETTERS} AS payload_digest,
+         min(page_id) OVER (PARTITION BY h) AS first_page FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first_page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_page THEN first_page END AS refers_to
+FROM d
+"""
+
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings
+), good AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+  SELECT a.rid AS a, b.rid AS b FROM good a JOIN good b
+    ON a.label = b.label AND a.rid <> b.rid AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT rid, vec_id AS root FROM v
+  UNION
+  SELECT links.a, reach.root FROM links JOIN reach ON reach.rid = links.b
+), least AS (
+  SELECT rid, min(root) AS component_id FROM reach GROUP BY rid
+), number AS (
+  SELECT a AS rid, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, FALSE) AS kept
+FROM v JOIN least USING (rid) LEFT JOIN number USING (rid)
+"""
+
+OP7_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT rid, w[i + 1:i + 3] AS gram
+  FROM (SELECT rid, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT rid, count(*) AS n FROM s GROUP BY rid
+), links AS (
+  SELECT x.a, x.b FROM (
+    SELECT l.rid AS a, r.rid AS b, count(*) AS both FROM s l JOIN s r ON l.gram = r.gram AND l.rid <> r.rid
+    GROUP BY l.rid, r.rid) x
+  JOIN n p ON p.rid = x.a JOIN n q ON q.rid = x.b WHERE 100 * x.both >= 90 * (p.n + q.n - x.both)
+), reach AS (
+  SELECT rid, doc_id AS root FROM d
+  UNION
+  SELECT links.a, reach.root FROM links JOIN reach ON reach.rid = links.b
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (rid) JOIN (SELECT rid, min(root) AS component_id FROM reach GROUP BY rid) USING (rid)
+"""
+
 _QUERIES: dict[str, QueryFn] = {
     f.__name__: f
     for f in (
@@ -112,7 +178,12 @@ _QUERIES: dict[str, QueryFn] = {
         op10_output_codes,
     )
 }
-_ORACLES = {"op4_decontaminate": OP4_SQL}
+_ORACLES = {
+    "op3_warc_revisits": OP3_SQL,
+    "op4_decontaminate": OP4_SQL,
+    "op5_grid_order_join": OP5_SQL,
+    "op7_jaccard_join": OP7_SQL,
+}
 
 
 def callables() -> dict[str, QueryFn]:
