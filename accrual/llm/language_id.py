@@ -8,8 +8,7 @@ language's codeword, weighted by how reliable the bit is for that language on th
 nearest codeword wins. Where the runner-up is almost as near, the row is flagged as ambiguous.
 
 Training needs two small aggregates: trigram counts per language and correct bits per language. Both
-come from a sample of at most about ``per_language`` labelled rows of each language, chosen by a hash of
-the id. Prediction is one pass without a shuffle, over whole texts.
+come from a random sample of at most about ``per_language`` labelled rows of each language. Prediction is one pass without a shuffle, over whole texts.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from accrual.llm.common import free_name
 BITS = 16
 BINS = 1 << BITS
 PER_LANGUAGE = 10_000
+SEED = 7
 UNDETERMINED = "und"
 PIECE = 1 << 20
 AMBIGUOUS = 0.1
@@ -126,18 +126,17 @@ def _bit_weights(counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def training_rows(
-    documents: DataFrame, text: str, lang: str, allowed: Column, key: Column, per_language: int
+    documents: DataFrame, text: str, lang: str, allowed: Column, per_language: int
 ) -> DataFrame:
-    """``text`` (its letters) and ``lang`` of labelled rows, about ``per_language`` of each at most."""
+    """``text`` (its letters) and ``lang`` of labelled rows, about ``per_language`` of each at most.
+
+    Rows are drawn one by one, so copies of a row or an id cannot swell the sample.
+    """
     usable = allowed & F.col(lang).isNotNull() & F.col(text).isNotNull()
     labelled = documents.where(usable)
     counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
-    place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
-    limit = F.lit(0)
-    for language, n in sorted(counts.items()):
-        most = (1 << 30) if n <= per_language else int((1 << 30) * per_language / n)
-        limit = F.when(F.col(lang) == language, most).otherwise(limit)
-    return labelled.where(place < limit).select(
+    shares = {language: min(1.0, per_language / n) for language, n in counts.items()}
+    return labelled.sampleBy(lang, shares, seed=SEED).select(
         letters(F.col(text)).alias("text"), F.col(lang).alias("lang")
     )
 
@@ -233,7 +232,7 @@ def held_out(doc_id: Column) -> Column:
 def train_on_documents(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """A model of the labelled rows that are not held out; rows without an id are not used."""
     allowed = ~held_out(F.col("doc_id"))
-    return train(training_rows(documents, "text", "lang", allowed, F.col("doc_id"), per_language))
+    return train(training_rows(documents, "text", "lang", allowed, per_language))
 
 
 def identify_documents(documents: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:

@@ -32,6 +32,7 @@ TRAINING_PAGES = 400
 LAYOUTS = 4
 ROUNDS = 20
 DEPTH = 5
+SEED = 7
 
 # Element names of HTML by what they mean for the tree.
 SKIPPED = {"script", "style", "noscript", "template", "svg", "iframe", "object", "head", "title", "canvas", "math"}
@@ -393,20 +394,20 @@ def _flat(tree, weight: float) -> tuple[float, np.ndarray]:
 def train_trees(
     pages: DataFrame, most: int = TRAINING_PAGES, layouts: int = LAYOUTS, rounds: int = ROUNDS, depth: int = DEPTH
 ) -> Trees:
-    """Boosted trees from about ``most`` pages at most, chosen by a hash of the html.
+    """Boosted trees from a random sample of about ``most`` pages at most.
 
     Without a page that has text there is nothing to learn, and no trees are returned.
     """
     known = pages.where(F.col("html").isNotNull())
     number = known.count()
-    place = F.pmod(F.xxhash64("html"), F.lit(1 << 30))
-    share = 1 << 30 if number <= most else int((1 << 30) * most / number)
-    sample = known.where(place < share).select("html", place.alias("seed"))
+    sample = known.sample(min(1.0, most / max(number, 1)), seed=SEED).select(
+        "html", F.xxhash64("html").alias("seed")
+    )
     nodes = sample.mapInPandas(_training_frames(layouts), "values array<double>, label double")
     nodes = stored(nodes, "training-nodes")
     if nodes.select("label").distinct().count() < 2:
         return []
-    boosting = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, maxBins=64)
+    boosting = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=SEED, maxBins=64)
     model = boosting.fit(nodes.select(array_to_vector("values").alias("features"), "label"))
     return [_flat(tree, weight) for tree, weight in zip(model.trees, model.treeWeights)]
 

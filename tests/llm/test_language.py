@@ -39,7 +39,7 @@ def test_defined_results(spark, known):
         (1, "ABBA!", "x", 5), (6, "effe " * 400_000, "x", 5),
     ]
     given = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string, score int")
-    model = train(training_rows(known, "text", "lang", F.lit(True), F.col("doc_id"), 1000))
+    model = train(training_rows(known, "text", "lang", F.lit(True), 1000))
     out = predict_languages(given, model)
     assert out.columns == ["doc_id", "text", "lang_pred", "score", "ambiguous"]
     got = sorted((r["doc_id"] or 0, r["lang_pred"]) for r in out.collect())
