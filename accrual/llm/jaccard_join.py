@@ -119,12 +119,12 @@ def _scan(words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for frame in frames:
-            hashes = [word_hashes(text) for text in frame["text"]]
-            for at in range(0, len(hashes), 256):
-                counters = _buckets(np.concatenate(hashes[at : at + 256]))
-                weights += np.bincount(counters, minlength=len(weights))
-            sets = [np.unique(_grams(h, words)) for h in hashes]
-            made = [(_class_of(grams) if len(grams) else None, len(grams)) for grams in sets]
+            made = []
+            for at in range(0, len(frame), 256):  # a few texts at a time, to hold few hashes
+                hashes = [word_hashes(text) for text in frame["text"].iloc[at : at + 256]]
+                weights += np.bincount(_buckets(np.concatenate(hashes)), minlength=len(weights))
+                sets = [np.unique(_grams(h, words)) for h in hashes]
+                made += [(_class_of(grams) if len(grams) else None, len(grams)) for grams in sets]
             out = frame[["doc_id", "text_hash"]].copy()
             out["class"] = pd.array([c for c, _ in made], dtype="Int64")
             out["n"] = [n for _, n in made]
