@@ -30,7 +30,7 @@ BINS = 1 << BITS
 PER_LANGUAGE = 10_000
 SEED = 7
 UNDETERMINED = "und"
-PIECE = 1 << 20
+PIECE = 1 << 18
 AMBIGUOUS = 0.1
 
 
