@@ -23,9 +23,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: sets of 5-word n-grams, Jaccard of 0.8 or more."""
     ready(spark)
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, percent=80, words=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
