@@ -237,10 +237,24 @@ def contamination(documents: DataFrame, benchmark: DataFrame, share: int = 20) -
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, share: int = 20) -> DataFrame:
     """The rows of ``documents`` that are not contaminated, with their columns as they were.
 
-    The decision is joined back by ``doc_id``; rows that share an id go together if any of them is
+    The decision is joined back by ``doc_id`` (``drop_contaminated_rows`` decides per row); rows that share an id go together if any of them is
     contaminated, and rows without an id are kept only if none such is contaminated.
     """
     name = free_name(documents, "_bad")
     bad = contamination(documents, benchmark, share).where("contaminated")
     bad = bad.select(F.col("doc_id").alias(name)).distinct()
     return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+
+
+def drop_contaminated_rows(documents: DataFrame, benchmark: DataFrame, share: int = 20) -> DataFrame:
+    """The rows of ``documents`` that are not contaminated themselves, with their columns as they were.
+
+    The decision is joined back by ``doc_id`` and a hash of the text, either of which may be NULL: rows of
+    one text have one decision, and a row says nothing about others that share its id or have none.
+    """
+    kept_id, kept_hash, name = (free_name(documents, c) for c in ("_id", "_kept", "_hash"))
+    key = F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+    bad = contamination(documents.select(key.alias("doc_id"), "text"), benchmark, share).where("contaminated")
+    bad = bad.select(F.col("doc_id.doc_id").alias(kept_id), F.col("doc_id.text_hash").alias(kept_hash)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(name) == F.col(kept_hash))
+    return documents.withColumn(name, F.xxhash64("text")).join(bad, same, "left_anti").drop(name)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from accrual.llm.common import ready, stored, table
-from accrual.llm.decontaminate import drop_contaminated
+from accrual.llm.decontaminate import drop_contaminated_rows
 from accrual.llm.jaccard_join import drop_near_duplicates
 from accrual.llm.language_id import drop_undetermined
 from accrual.llm.sentencepiece_backend import encode_texts, read_model
@@ -29,8 +29,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
-    return drop_contaminated(docs, table(ready(spark), sf_dir, "benchmark"))
+    """Documents that are not contaminated by the benchmark; each row is judged by its own text."""
+    return drop_contaminated_rows(docs, table(ready(spark), sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,3 +42,20 @@ def test_near_duplicates_of_given_documents(spark):
     rows = rows.select("doc_id", "text").collect()
     roots = components([r["doc_id"] for r in rows], links([r["text"] for r in rows]))
     assert kept == {c if shingles(r["text"], 5) else r["doc_id"] for r, c in zip(rows, roots)}
+
+
+def test_contaminated_rows_take_no_others_with_them(spark, monkeypatch):
+    """Rows that share an id with a contaminated row, or have none like it, are judged by their own text."""
+    item, clean = " ".join(f"b{i}" for i in range(20)), "c " * 30
+    rows = [
+        (None, item, None, "a"), (None, clean, "en", None), (None, None, "en", "b"), (None, "", None, None),
+        (1, item, "en", "c"), (1, clean, "de", "d"), (1, None, "de", "e"), (2, clean, "de", "f"), (2, clean, "de", "f"),
+        (3, clean + item, "en", "g"),
+    ]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: benchmark)
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], COLUMNS + ", _hash int, _id string").repartition(3)
+    out = corpus_pipeline.decontaminate(spark, docs, SF)
+    assert out.columns == docs.columns
+    want = [(*r, 1, "x") for r in rows if item not in (r[1] or "")]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
