@@ -242,8 +242,17 @@ def identify_documents(documents: DataFrame, per_language: int = PER_LANGUAGE) -
     return predict_languages(marked, model)
 
 
-def drop_undetermined(documents: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows of ``documents`` whose language can be told, with their columns as they were."""
+def drop_undetermined(
+    documents: DataFrame, per_language: int = PER_LANGUAGE, unlabelled: str = "drop"
+) -> DataFrame:
+    """The rows of ``documents`` whose language can be told, with their columns as they were.
+
+    If no row teaches a language, nothing can be told and all rows go; ``unlabelled="keep"`` then keeps
+    those that have a letter.
+    """
+    model = train_on_documents(documents, per_language)
+    if unlabelled == "keep" and not model.languages:
+        return documents.where(F.col("text").rlike(r"\p{L}"))
     name = free_name(documents, "_found")
-    found = documents.withColumn(name, language_of(train_on_documents(documents, per_language), F.col("text")))
+    found = documents.withColumn(name, language_of(model, F.col("text")))
     return found.where(F.col(name)["lang_pred"] != UNDETERMINED).drop(name)

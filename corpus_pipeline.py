@@ -17,9 +17,9 @@ from accrual.llm.sentencepiece_backend import encode_texts, read_model
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a text or a letter go."""
+    """Documents that have a letter, also if none has a label; those without a text or a letter go."""
     ready(spark)
-    return drop_undetermined(docs)
+    return drop_undetermined(docs, unlabelled="keep")
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

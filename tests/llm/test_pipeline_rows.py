@@ -59,3 +59,11 @@ def test_contaminated_rows_take_no_others_with_them(spark, monkeypatch):
     assert out.columns == docs.columns
     want = [(*r, 1, "x") for r in rows if item not in (r[1] or "")]
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_documents_without_labels_stay(spark):
+    rows = [(1, "one text", None, "s"), (2, "été", None, None), (None, "three", None, "s"), (4, "12 34", None, "s"), (5, None, None, "s")]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    out = corpus_pipeline.identify_language(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(rows[:3], key=repr)
