@@ -63,11 +63,12 @@ MARK = "data-main"
 
 
 class Node:
-    __slots__ = ("tag", "parent", "at", "depth", "tokens", "mark", "children", "chars", "linked", "points")
+    __slots__ = ("tag", "parent", "at", "depth", "tokens", "mark", "children", "place", "kinds", "chars", "linked", "points")
 
-    def __init__(self, tag, parent, at, depth, tokens, mark):
+    def __init__(self, tag, parent, at, depth, tokens, mark, place=0):
         self.tag, self.parent, self.at, self.depth = tag, parent, at, depth
         self.tokens, self.mark, self.children = tokens, mark, []
+        self.place, self.kinds = place, {}  # among the siblings; how many children have a tag
         self.chars = self.linked = self.points = 0
 
 
@@ -136,8 +137,10 @@ class Page(HTMLParser):
                 tokens.update(t.lower() for t in _SPLIT.findall(value))
             mark |= name == MARK
         parent = self.stack[-1]
-        node = Node(tag, parent, len(self.nodes), len(self.stack), tokens, mark)
-        self.nodes[parent].children.append(node.at)
+        siblings, kinds = self.nodes[parent].children, self.nodes[parent].kinds
+        node = Node(tag, parent, len(self.nodes), len(self.stack), tokens, mark, len(siblings))
+        siblings.append(node.at)
+        kinds[tag] = kinds.get(tag, 0) + 1
         self.stack.append(node.at)
         self.nodes.append(node)
 
@@ -200,9 +203,8 @@ def features(page: Page) -> np.ndarray:
             good[i], bad[i] = good[up] + own_good, bad[up] + own_bad
             article[i], outside[i] = article[up] + own_article, outside[up] + own_outside
             siblings = nodes[up].children
-            place = siblings.index(i) if len(siblings) < 64 else n.at - siblings[0]
-            alike = sum(nodes[s].tag == n.tag for s in siblings[:64])
-            left = siblings[place - 1] if 0 < place < len(siblings) else up
+            place, alike = n.place, nodes[up].kinds[n.tag]
+            left = siblings[place - 1] if place else up
             right = siblings[place + 1] if place + 1 < len(siblings) else up
         else:
             siblings, place, alike, left, right = [0], 0, 1, 0, 0
@@ -211,7 +213,7 @@ def features(page: Page) -> np.ndarray:
             n.tag in TEXT_BLOCKS, n.tag in HEADINGS, n.tag in ITEMS, own_article, own_outside,
             n.tag in GENERIC, own_good, own_bad, good[i], bad[i], article[i], outside[i],
             n.depth, np.log1p(c), linked[i] / (c + 1), points[i] / (c + 1), c / size[i], size[i],
-            len(n.children), len(siblings), place / len(siblings), alike / min(len(siblings), 64),
+            len(n.children), len(siblings), place / len(siblings), alike / len(siblings),
             before[i] / total, c / total, chars[up] / total if i else 1.0,
             linked[up] / (chars[up] + 1) if i else 0.0, np.log1p(chars[left]), np.log1p(chars[right]),
             len(n.tokens),
