@@ -35,14 +35,16 @@ DEPTH = 5
 SEED = 7
 
 # Element names of HTML by what they mean for the tree.
-SKIPPED = {"script", "style", "noscript", "template", "svg", "iframe", "object", "head", "title", "canvas", "math"}
+SKIPPED = {"script", "style", "template", "head", "title"}
+# What stands in for something else; it may be inside a paragraph.
+EMBEDDED = {"noscript", "object", "iframe", "canvas"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 TEXT_BLOCKS = {"p", "blockquote", "pre", "dd", "figcaption", "address"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ITEMS = {"li", "dt", "td", "th", "tr", "option", "summary", "caption"}
 ARTICLES = {"article", "main"}
 OUTSIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "select", "textarea", "button", "label", "legend"}
-GENERIC = {"body", "div", "section", "ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "center", "figure", "details", "hgroup", "search", "ins"}
+GENERIC = {"body", "div", "section", "ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "center", "figure", "details", "hgroup", "search", "ins"} | EMBEDDED
 BLOCKS = TEXT_BLOCKS | HEADINGS | ITEMS | ARTICLES | OUTSIDE | GENERIC
 CLOSES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 # Words in class, id and role that speak for and against article text.
@@ -76,6 +78,7 @@ class Page(HTMLParser):
     """The block elements of a page and its text blocks, in page order.
 
     ``blocks`` holds (node number, text); white space is one space, character references are decoded.
+    ``skip`` holds the open elements without text and the blocks open in them.
     """
 
     def __init__(self, html: str):
@@ -105,14 +108,18 @@ class Page(HTMLParser):
         self.link = False
 
     def handle_starttag(self, tag, attrs):
-        if tag in SKIPPED:
-            self.skip.append(tag)
-            return
         if self.skip:
-            if tag == "body" or self.skip[-1] == "head" and tag in BLOCKS:
+            in_head = self.skip[0] == "head" and set(self.skip) <= {"head", "noscript"}
+            if tag == "body" or in_head and tag != "noscript" and (tag in BLOCKS or tag in ("svg", "math")):
                 self.skip.clear()
+            elif tag in SKIPPED or tag in BLOCKS:
+                self.skip.append(tag)
+                return
             else:
                 return
+        if tag in SKIPPED:
+            self.skip.append(tag)
+            return
         if tag == "a":
             self.link = True
         elif tag in ("br", "hr"):
@@ -121,7 +128,7 @@ class Page(HTMLParser):
             return
         self.flush()
         names = [self.nodes[i].tag for i in self.stack]
-        if names[-1] == "p":
+        if names[-1] == "p" and tag not in EMBEDDED:
             self._leave(len(self.stack) - 1)
             names.pop()
         if tag in CLOSES:
@@ -145,14 +152,18 @@ class Page(HTMLParser):
         self.nodes.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        if tag in VOID or tag not in SKIPPED:
+        if tag not in SKIPPED and tag not in EMBEDDED:
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
         if self.skip:
             if tag in self.skip:
-                del self.skip[self.skip.index(tag):]
-            return
+                del self.skip[len(self.skip) - 1 - self.skip[::-1].index(tag):]
+                return
+            # The end of a block around what is skipped ends that too.
+            if tag not in BLOCKS or all(self.nodes[i].tag != tag for i in self.stack[1:]):
+                return
+            self.skip.clear()
         if tag == "a":
             self.link = False
         if tag not in BLOCKS or tag == "body":

@@ -21,3 +21,26 @@ def test_places_among_many_siblings():
         assert np.allclose(rows[tops, ALIKE], [tags.count(t) / count for t in tags])
         assert np.allclose(rows[tops, LEFT], [whole, *sizes[:-1]])
         assert np.allclose(rows[tops, RIGHT], [*sizes[1:], whole])
+
+
+def blocks(html):
+    return [t for _, t in Page(html).blocks]
+
+
+def test_embedded_text_is_read():
+    page = (
+        "<head><title>no</title><noscript><img src=x></noscript><style>no</style></head><article>"
+        "<p>As <math><mi>a</mi><mo>=</mo><mn>2</mn></math> and <svg><title>no</title><text>b</text></svg> show.</p>"
+        "<object data=x><p>Fallback</p></object><p>c <object>d</object> e</p><canvas>f</canvas><iframe>g</iframe>"
+        "<noscript>h</noscript><script>no</script><template><div>no<template>no</template>no</div></template><p>i</p></article>"
+    )
+    assert blocks(page) == ["As a=2 and b show.", "Fallback", "c", "d", "e", "f", "g", "h", "i"]
+
+
+def test_unclosed_elements_end_with_their_block():
+    for tag in ("math", "svg", "object", "canvas", "iframe", "noscript"):
+        assert blocks(f"<div><p>a</p><{tag}>b</div><p>c</p>") == ["a", "b", "c"]
+    assert blocks("<div><p>a</p><template><div>no</div><p>no</div><p>c</p>") == ["a", "c"]
+    assert blocks("<div><p>a</p><svg><title>no</div><p>c</p>") == ["a", "c"]
+    assert blocks("<head><noscript><div>a</div><p>b</p>") == ["a", "b"]
+    assert len(Page("<div><p>a</p><iframe/><object/><p>b</p></div>").nodes) == 4
