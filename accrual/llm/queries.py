@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from accrual.llm.best_fit_packing import pack_documents
 from accrual.llm.bpe_transducer import count_tokens, read_tokenizer
 from accrual.llm.common import ready, table
 from accrual.llm.decontaminate import contamination
 from accrual.llm.grid_order_join import near_duplicate_vectors
+from accrual.llm.hard_negatives import mine_embeddings
 from accrual.llm.histogram_sort import shard_documents
 from accrual.llm.jaccard_join import jaccard_components
 from accrual.llm.language_id import identify_documents
 from accrual.llm.license_index import scan_licenses
 from accrual.llm.main_text import extract_main_text, train_trees
+from accrual.llm.prefix_trie import prefix_trie, rebuilt_paths
 from accrual.llm.sentencepiece_backend import encode_texts, read_model
 from accrual.llm.warc import deduplicate_pages
 
@@ -65,6 +68,18 @@ def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(documents).drop("text", "lang")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt_paths(table(ready(spark), sf_dir, "conversations")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_embeddings(table(ready(spark), sf_dir, "embeddings"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(ready(spark), sf_dir, "documents"), read_tokenizer())
+
+
 _SQL_WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
     " 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -163,6 +178,71 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d LEFT JOIN n USING (rid) JOIN (SELECT rid, min(root) AS component_id FROM reach GROUP BY rid) USING (rid)
 """
 
+# CRC-32 of a decimal number, bit by bit.
+_SQL_CRC = (
+    "xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''),"
+    " lambda c: CAST(ord(c) AS BIGINT))), lambda h, c: list_reduce([xor(h, c), 0, 0, 0, 0, 0, 0, 0, 0],"
+    " lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+)
+
+OP11_SQL = f"""
+WITH own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, coalesce(role, '')) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, l, {_SQL_CRC} % 9 AS h FROM own
+), p AS (
+  SELECT c.conv_id, list_concat(coalesce(b.l, [])[1:c.h], c.l[c.h + 1:]) AS p
+  FROM h c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), member AS (
+  SELECT conv_id, len(p) AS total, unnest(range(len(p) + 1)) AS d, p FROM p
+), node AS (
+  SELECT p[1:d] AS path, d, min(conv_id) AS conv_id, count(*) AS n,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+           FILTER (WHERE total = d), '')) AS ends
+  FROM member GROUP BY path, d
+), child AS (
+  SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL
+), own_sums AS (
+  SELECT node.*, coalesce(child.n, 0) AS children,
+         CASE WHEN node.d = 0 THEN 0 ELSE (node.n - 1) * strlen(path[node.d].t) END AS saved
+  FROM node LEFT JOIN child USING (path, d)
+), spread AS (
+  SELECT path, children, saved, unnest(range(d + 1)) AS a FROM own_sums
+), tree AS (
+  SELECT path[1:a] AS path, a AS d, count(*) FILTER (WHERE children = 0) AS leaves, sum(saved) AS saved
+  FROM spread GROUP BY ALL
+)
+SELECT s.conv_id, s.d AS depth, up.conv_id AS parent_conv_id, s.n AS n_convs, s.children AS n_children,
+       tree.leaves AS n_leaves, CAST(tree.saved AS BIGINT) AS saved_tokens, s.ends AS ends_sha256
+FROM own_sums s JOIN tree USING (path, d) LEFT JOIN node up ON up.path = s.path[1:s.d - 1] AND up.d = s.d - 1
+"""
+
+OP12_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pair AS (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.rid <> b.rid AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0
+), near AS (
+  SELECT * FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+)
+SELECT n.anchor_id, n.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY n.anchor, n.rid ORDER BY f.score DESC, f.vec_id) AS INTEGER) AS rank,
+       f.vec_id AS negative_id, n.score AS positive_score, f.score AS negative_score
+FROM near n JOIN pair f ON f.anchor = n.anchor AND NOT f.same
+WHERE 80 * n.score <= 100 * f.score AND f.score <= n.score
+QUALIFY row_number() OVER (PARTITION BY n.anchor, n.rid ORDER BY f.score DESC, f.vec_id) <= 5
+"""
+
 _QUERIES: dict[str, QueryFn] = {
     f.__name__: f
     for f in (
@@ -176,6 +256,9 @@ _QUERIES: dict[str, QueryFn] = {
         op8_sentencepiece,
         op9_main_text,
         op10_output_codes,
+        op11_prefix_trie,
+        op12_hard_negatives,
+        op13_best_fit_packing,
     )
 }
 _ORACLES = {
@@ -183,6 +266,8 @@ _ORACLES = {
     "op4_decontaminate": OP4_SQL,
     "op5_grid_order_join": OP5_SQL,
     "op7_jaccard_join": OP7_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
 
 
