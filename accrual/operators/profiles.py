@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from accrual.functions.numbers import percent
 from accrual.operators.order_stats import approximate_quantiles, interpolated_quantiles
 from accrual.operators.values import long_counts
+from accrual.session import durable
 
 # Profile thresholds.
 HIGH_CARDINALITY = 20
@@ -246,7 +247,8 @@ def list_length_stats(df: DataFrame, lists: list[str]) -> DataFrame:
         lists,
         {"n": lambda c: F.count(c), "min": lambda c: F.min(c), "max": lambda c: F.max(c)},
     )
-    middle = interpolated_quantiles(lengths, lists, {"median": 0.5, "p99": 0.99})
+    # Several rounds read the lengths; the lists are measured once.
+    middle = interpolated_quantiles(durable(lengths), lists, {"median": 0.5, "p99": 0.99})
     return ends.join(F.broadcast(middle), "column", "left").select(
         "column",
         F.col("n").alias("n_lists"),

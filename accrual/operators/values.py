@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def exploded(df: DataFrame, items: Column | str, out: str = "value", outer: bool = False):
@@ -12,14 +13,44 @@ def exploded(df: DataFrame, items: Column | str, out: str = "value", outer: bool
     return df.withColumn(out, F.explode_outer(items) if outer else F.explode(items))
 
 
+# Values are first counted by a hash with this many results.
+CELLS = 1 << 16
+
+
+def _cell(value: str) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(CELLS)).cast("int")
+
+
 def top_values(df: DataFrame, value: str, n: int, count: str = "n") -> DataFrame:
-    """The ``n`` most frequent values; ties in value order."""
-    return (
-        df.groupBy(value)
-        .agg(F.count("*").alias(count))
-        .orderBy(F.col(count).desc(), F.col(value).asc())
-        .limit(n)
-    )
+    """The ``n`` most frequent values; ties in value order, NULL first.
+
+    Rows are counted per hash cell first, which shuffles at most ``CELLS`` counts per task however many
+    values there are. No value is more frequent than its cell. The values of the fullest cells are then
+    counted exactly; where the n-th of them is not above every other cell, the cells that may still hold
+    a better one are counted as well. The answer is exact for any data. ``df`` is read two or three
+    times. Only the cells' counts and the ``n`` rows of the answer come to the driver.
+    """
+    cells = df.groupBy(_cell(value).alias("cell")).agg(F.count("*").alias("n")).collect()
+    cells = sorted(((r["n"], r["cell"]) for r in cells), reverse=True)
+
+    def counted(chosen: list[tuple[int, int]]) -> list:
+        wanted = df.sparkSession.createDataFrame([(c,) for _, c in chosen], "_cell int")
+        # At most CELLS numbers.
+        held = df.select(value).join(F.broadcast(wanted), _cell(value) == F.col("_cell"), "left_semi")
+        return _first(held.groupBy(value).agg(F.count("*").alias(count)), value, n, count).collect()
+
+    chosen = cells[: 4 * n]
+    best = counted(chosen)
+    if len(chosen) < len(cells):
+        least = best[-1][count] if len(best) == n else 0
+        if cells[len(chosen)][0] >= least:
+            best = counted([c for c in cells if c[0] >= least])
+    schema = StructType([df.schema[value], StructField(count, LongType(), False)])
+    return df.sparkSession.createDataFrame([tuple(r) for r in best], schema)
+
+
+def _first(counts: DataFrame, value: str, n: int, count: str) -> DataFrame:
+    return counts.orderBy(F.col(count).desc(), F.col(value).asc()).limit(n)
 
 
 def top_list_values(
@@ -51,23 +82,28 @@ def top_dimension_values(
 ) -> DataFrame:
     """The ``n`` most frequent ids of a list column, with their dimension name.
 
-    Ids are counted before the join: one row per id meets the dimension, not one per element.
+    The most frequent ids meet the dimension, not all of them. Ids that it lacks do not count; while
+    they leave fewer than ``n`` rows, twice as many ids are taken.
     """
-    counted = df.select(F.explode(ids).alias(dim_id)).groupBy(dim_id).agg(
-        F.count("*").alias("n_trials")
-    )
-    return (
-        counted.join(dim.select(dim_id, dim_name), dim_id)
-        .orderBy(F.col("n_trials").desc(), F.col(dim_id), F.col(dim_name))
-        .limit(n)
-    )
-
-
-def case_variants(df: DataFrame, value: str, n: int = 15) -> DataFrame:
+    items = df.select(F.explode(ids).alias(dim_id))
+    names = dim.select(dim_id, dim_name)
+    order = [F.col("n_trials").desc(), F.col(dim_id), F.col(dim_name)]
+    taken = n
+    while True:
+        best = top_values(items, dim_id, taken, "n_trials")
+        rows = best.join(names, dim_id).select(dim_id, dim_name, "n_trials").orderBy(*order).limit(n)
+        found = rows.collect()
+        if len(found) == n or best.count() < taken:
+            return df.sparkSession.createDataFrame(found, rows.schema)
+        taken *= 2
+
+
+def case_variants(df: DataFrame, value: str, n: int = 15, shown: int = 100) -> DataFrame:
     """Values spelled in more than one letter case: lower-cased form, number of spellings, and
-    the sorted spellings, for the ``n`` forms with most of them.
+    the first ``shown`` spellings in order, for the ``n`` forms with most of them.
 
-    Spellings are collected only for the ``n`` reported forms.
+    Spellings are collected only for the ``n`` reported forms, and ranked before they are collected, so a
+    list has at most ``shown`` of them.
     """
     spellings = (
         df.select(F.lower(value).alias("normalized"), F.col(value).alias("variant"))
@@ -81,8 +117,11 @@ def case_variants(df: DataFrame, value: str, n: int = 15) -> DataFrame:
         .orderBy(F.col("variant_count").desc(), F.col("normalized"))
         .limit(n)
     )
+    place = Window.partitionBy("normalized").orderBy("variant")
     return (
         spellings.join(F.broadcast(worst), "normalized")
+        .withColumn("_place", F.row_number().over(place))
+        .filter(F.col("_place") <= shown)
         .groupBy("normalized", "variant_count")
         .agg(F.sort_array(F.collect_list("variant")).alias("variants"))
     )

@@ -86,6 +86,43 @@ def flatten_studies(decoded: DataFrame) -> DataFrame:
     ).filter(F.col("nct_id").isNotNull())
 
 
+# Where the flat columns stand in a document.
+PATHS = {
+    "brief_title": ("$.protocolSection.identificationModule.briefTitle", "string"),
+    "brief_summary": ("$.protocolSection.descriptionModule.briefSummary", "string"),
+    "study_type": ("$.protocolSection.designModule.studyType", "string"),
+    "primary_purpose": ("$.protocolSection.designModule.designInfo.primaryPurpose", "string"),
+    "overall_status": ("$.protocolSection.statusModule.overallStatus", "string"),
+    "lead_sponsor_class": ("$.protocolSection.sponsorCollaboratorsModule.leadSponsor.class", "string"),
+    "phase": ("$.protocolSection.designModule.phases[0]", "string"),
+    "enrollment_count": ("$.protocolSection.designModule.enrollmentInfo.count", "int"),
+    "start_text": ("$.protocolSection.statusModule.startDateStruct.date", "string"),
+    "completion_text": ("$.protocolSection.statusModule.primaryCompletionDateStruct.date", "string"),
+    "sex": ("$.protocolSection.eligibilityModule.sex", "string"),
+    "minimum_age_text": ("$.protocolSection.eligibilityModule.minimumAge", "string"),
+    "maximum_age_text": ("$.protocolSection.eligibilityModule.maximumAge", "string"),
+    "conditions": ("$.protocolSection.conditionsModule.conditions", "array<string>"),
+    "locations": (
+        "$.protocolSection.contactsLocationsModule.locations",
+        "array<struct<facility: string, city: string, state: string, zip: string, country: string, "
+        "geoPoint: struct<lat: double, lon: double>>>",
+    ),
+    "meshes": (
+        "$.derivedSection.conditionBrowseModule.meshes",
+        "array<struct<id: string, term: string>>",
+    ),
+}
+
+
+def flatten_landed(landed: DataFrame) -> DataFrame:
+    """The columns of ``flatten_studies`` from documents landed as VARIANT (``land_variants``).
+
+    Fields are read by path from the parsed form. One of a type that cannot be converted is NULL.
+    """
+    fields = [F.try_variant_get("doc", path, kind).alias(name) for name, (path, kind) in PATHS.items()]
+    return landed.select("nct_id", *fields, "timestamp", "partition", "offset", "payload_hash")
+
+
 def derive_trials(
     flat: DataFrame,
     terms: list[str] = NON_DIAGNOSTIC_TERMS,
@@ -138,12 +175,28 @@ def clean_studies(
     """Topic rows to the newest eligible version of each study, with sites and ids still nested.
 
     ``keep_version`` adds the arrival time of that version as ``version``.
+    """
+    flat = flatten_studies(decode_json(topic, schemas.STUDY))
+    return newest_eligible(flat, sentinel_compat, keep_version, **derive)
+
+
+def clean_landed(
+    landed: DataFrame, sentinel_compat: bool = True, keep_version: bool = False, **derive
+) -> DataFrame:
+    """``clean_studies`` of documents that were landed as VARIANT, without parsing them again."""
+    return newest_eligible(flatten_landed(landed), sentinel_compat, keep_version, **derive)
+
+
+def newest_eligible(
+    flat: DataFrame, sentinel_compat: bool = True, keep_version: bool = False, **derive
+) -> DataFrame:
+    """Flat documents to the newest eligible version of each study.
 
     Everything that depends on one document alone happens before the shuffle by id. A version
     that is not eligible only has to outrank older ones, so its wide columns are dropped first
     and the shuffle carries its key and order alone.
     """
-    derived = derive_trials(flatten_studies(decode_json(topic, schemas.STUDY)), **derive)
+    derived = derive_trials(flat, **derive)
     order = [c for c in NEWEST_FIRST if c in derived.columns]
     kept = [c for c in [*TRIAL_COLUMNS[1:], "locations", "meshes"]]
     flagged = derived.withColumn("_eligible", is_eligible(sentinel_compat)).select(

@@ -16,9 +16,7 @@ from accrual.sources.landing import payload_hash, select_incremental
 from accrual.sources.topics import CORRUPT, decode_json, keyed_json, split_bad_records, unwrap_envelope
 
 
-@query(
-    "silver_trials",
-    f"""WITH {DOCS_SQL}
+SILVER_TRIALS_SQL = f"""WITH {DOCS_SQL}
 SELECT nct_id, p_name AS brief_title, p_type AS brief_summary, study_type, p_brand AS primary_purpose,
        CASE WHEN l_linestatus = 'F' THEN 'COMPLETED' ELSE 'RECRUITING' END AS overall_status,
        CASE WHEN l_linestatus = 'F' THEN 'INDUSTRY' ELSE 'OTHER' END AS lead_sponsor_class,
@@ -33,10 +31,10 @@ SELECT nct_id, p_name AS brief_title, p_type AS brief_summary, study_type, p_bra
        months AS enrollment_duration_months, velocity AS trial_velocity,
        'P' || p_partkey || '|' || p_brand AS mesh_conditions_ids,
        p_type IN ('PROMO', 'SMALL') AS has_non_diagnostic_condition
-FROM studies""",
-)
-def silver_trials(spark, sf_dir):
-    trials = silver.trials_table(silver.clean_studies(shapes.study_topic(spark, sf_dir)))
+FROM studies"""
+
+
+def rounded_trials(trials):
     return (
         trials.withColumn("mesh_conditions_ids", pipe_joined("mesh_conditions_ids"))
         .withColumn("minimum_age_years", F.round("minimum_age_years", 6))
@@ -44,6 +42,12 @@ def silver_trials(spark, sf_dir):
     )
 
 
+@query("silver_trials", SILVER_TRIALS_SQL)
+def silver_trials(spark, sf_dir):
+    trials = silver.trials_table(silver.clean_studies(shapes.study_topic(spark, sf_dir)))
+    return rounded_trials(trials)
+
+
 @query(
     "explode_sites",
     f"""WITH {DOCS_SQL}

@@ -111,15 +111,15 @@ features AS (
 """
 
 
-@query(
-    "trial_features",
-    f"""WITH {FEATURES_SQL}
+TRIAL_FEATURES_SQL = f"""WITH {FEATURES_SQL}
 SELECT nct_id, study_type, primary_purpose, lead_sponsor_class, sex, phase,
        enrolled AS enrollment_count, CAST(n_sites AS INTEGER) AS n_sites, months AS duration_months,
        array_to_string(ids, '|') AS mesh_conditions_ids, non_diagnostic AS has_non_diagnostic_condition,
        round(site_exp + 1e-9, 6) AS avg_site_exp, round(site_vel + 1e-9, 6) AS avg_site_vel,
-       velocity AS target_velocity FROM features""",
-)
+       velocity AS target_velocity FROM features"""
+
+
+@query("trial_features", TRIAL_FEATURES_SQL)
 def trial_features(spark, sf_dir):
     return (
         _features(spark, sf_dir)

@@ -138,6 +138,9 @@ def study_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(part, lines["l_partkey"] == part["p_partkey"], "left")
         .join(places(spark, sf_dir), "l_suppkey", "left")
     )
+    # Documents are made and parsed where the rows lie, and the joins of a small file end in one task.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartition(tasks, "l_orderkey", "l_linenumber")
     text = F.array().cast("array<string>")
     line, priority, status = F.col("l_linenumber"), F.col("o_orderpriority"), F.col("o_orderstatus")
     ordered, size = F.col("o_orderdate"), F.col("p_size").cast("string")

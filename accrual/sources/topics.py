@@ -10,17 +10,33 @@ from accrual import schemas
 CORRUPT = "_corrupt_record"
 
 
+def spread(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
+    """``df`` in at least ``partitions`` tasks (as many as there are cores, if not given).
+
+    For costly work on input that lies in few large files or partitions. What is already cut finely
+    stays where it is; ``keys`` say how the rest is dealt out.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    # An explicit number, which adaptive execution does not fold together again.
+    return df.repartition(wanted, *keys)
+
+
 def read_topic(
     spark: SparkSession,
     topic: str,
     bootstrap_servers: str | None = None,
     files: str | None = None,
     file_format: str = "json",
+    partitions: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Everything a topic holds now, as ``key, value, timestamp, partition, offset``.
 
-    Reads Kafka from the earliest to the latest offset, or the same columns from ``files``.
+    Reads Kafka from the earliest to the latest offset, or the same columns from ``files``. A topic that
+    lies in fewer than ``partitions`` is dealt out by arrival, so that its documents are not parsed in a
+    few tasks.
     """
     if files is not None:
         frame = spark.read.schema(schemas.TOPIC).format(file_format).options(**options).load(files)
@@ -34,7 +50,8 @@ def read_topic(
             .options(**options)
             .load()
         )
-    return topic_columns(frame)
+    rows = topic_columns(frame)
+    return spread(rows, ["timestamp", "partition", "offset"], partitions) if partitions else rows
 
 
 def stream_topic(
@@ -99,7 +116,7 @@ def decode_json(
     value = unwrap_envelope("value") if envelope else F.col("value")
     if mode == "FAILFAST":
         parsed = F.from_json(value, schema, {"mode": "FAILFAST"})
-        return _computed_once(topic, {"data": parsed}).withColumn(
+        return computed_once(topic, {"data": parsed}).withColumn(
             CORRUPT, F.lit(None).cast("string")
         )
     parsed = F.from_json(
@@ -108,7 +125,7 @@ def decode_json(
     # The second look at the text is only taken where the first one found fault.
     faulty = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
     readable = F.when(faulty, is_json_object(value)).otherwise(True)
-    return _computed_once(topic, {"_parsed": parsed}).select(
+    return computed_once(topic, {"_parsed": parsed}).select(
         *topic.columns,
         F.when(readable, F.col("_parsed")).alias("data"),
         F.when(faulty & F.col("value").isNotNull(), F.col("value")).alias(CORRUPT),
@@ -121,7 +138,7 @@ def is_json_object(text: Column) -> Column:
     return F.coalesce(alone & F.ltrim(text).startswith("{"), F.lit(False))
 
 
-def _computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """``df`` plus columns that later filters read instead of computing again.
 
     A filter on a plain projected column is pushed below the projection, with the expression

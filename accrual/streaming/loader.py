@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from accrual.operators.latest import latest_per_key
 from accrual.operators.merge import merge_first, merge_upsert, replace_children, upsert_raw
+from accrual.sources.files import delete, names
 from accrual.sources.landing import land_raw, reject_raw
 from accrual.sources.topics import CORRUPT, decode_json, split_bad_records
 
@@ -96,27 +97,15 @@ def _read(spark: SparkSession, path: str, file_format: str = "parquet") -> DataF
         raise
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, by the file system that Spark uses for it; none if there is no folder."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def batches(spark: SparkSession, folder: str) -> list[int]:
     """Batches whose folders are there, in order; ``prune`` keeps them few."""
-    names = _children(spark, f"{folder}/changes")
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+    there = names(spark, f"{folder}/changes")
+    return sorted(int(n.split("=")[1]) for n in there if n.startswith("batch_id="))
 
 
 def committed(spark: SparkSession, checkpoint: str) -> int | None:
     """The last batch that the load with this checkpoint has finished."""
-    done = [int(n) for n in _children(spark, f"{checkpoint}/commits") if n.isdigit()]
+    done = [int(n) for n in names(spark, f"{checkpoint}/commits") if n.isdigit()]
     return max(done, default=None)
 
 
@@ -229,25 +218,25 @@ def prune(spark: SparkSession, folder: str, keep_snapshots: int = 2) -> None:
 
     Run it when no reader is on a snapshot older than the last ``keep_snapshots``.
     """
-    names = _children(spark, f"{folder}/snapshots")
+    there = names(spark, f"{folder}/snapshots")
     through = _snapshot_through(spark, folder)
     if through is None:
         return
-    kept = sorted(int(n) for n in names if n.isdigit() and int(n) <= through)[-keep_snapshots:]
-    for name in names:
+    kept = sorted(int(n) for n in there if n.isdigit() and int(n) <= through)[-keep_snapshots:]
+    for name in there:
         if name.isdigit() and int(name) < kept[0]:
-            _delete(spark, f"{folder}/snapshots/{name}")
+            delete(spark, f"{folder}/snapshots/{name}")
     # The newest batch stays: with nothing newer, its folder gives the table's columns.
     for batch in batches(spark, folder)[:-1]:
         if batch <= kept[0]:
-            _delete(spark, f"{folder}/changes/batch_id={batch}")
+            delete(spark, f"{folder}/changes/batch_id={batch}")
 
 
 def streaming_latest(records: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Newest record per key as a streaming aggregate, for update-mode sinks.
 
-    Its state holds one record per key for as long as the query lives. Where keys keep coming,
-    record changes and read ``current_rows`` instead.
+    Its state holds one record per key for as long as the query lives. Where keys keep coming, use
+    ``accrual.streaming.quiet``, whose state ends, or record changes and read ``current_rows``.
     """
     rest = [c for c in records.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_newest")

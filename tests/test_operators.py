@@ -206,6 +206,63 @@ def test_quantiles(spark, data):
     assert [smooth["v"]["p50"], smooth["v"]["p99"]] == pytest.approx(expected)
 
 
+odd_numbers = st.one_of(
+    st.floats(allow_nan=False), st.sampled_from([0.0, 1e-310, 1.0, 1.5, -3.0, 1e308, -1e308]), st.none()
+)
+
+
+@FEW
+@given(st.lists(odd_numbers, min_size=1, max_size=50))
+def test_values_at_places_of_any_doubles(spark, data):
+    df = spark.createDataFrame([(v,) for v in data] + [(float("nan"),)], "v double")
+    known = sorted(v for v in data if v is not None)
+    places = sorted({0, len(known) // 3, len(known) // 2, len(known) - 1})
+    if known:
+        got = order_stats.values_at(df, {"v": places})
+        assert [got["v", p] for p in places] == [known[p] for p in places]
+
+
+def test_quantiles_take_few_rounds_and_no_sort(spark, monkeypatch):
+    df = spark.range(200_000).select((F.rand(3) * F.pow(F.lit(10.0), F.col("id") % 9)).alias("v"))
+    rounds, plain = [], order_stats._refined
+    monkeypatch.setattr(order_stats, "_refined", lambda *a: rounds.append(len(a[1])) or plain(*a))
+    quantiles = {f"p{i}": i / 20 for i in range(21)}
+    got = order_stats.nearest_rank_quantiles(df, ["v"], quantiles).first()
+    ordered = sorted(r[0] for r in df.collect())
+    assert [got[q] for q in quantiles] == [ordered[min(200_000 * i // 20, 199_999)] for i in range(21)]
+    assert len(rounds) <= 5 and max(rounds) <= 21
+
+
+@FEW
+@given(st.lists(st.sampled_from("abcdefgh") | st.none(), max_size=60), st.integers(1, 9), st.sampled_from([1, 3, 64]))
+def test_top_values_for_any_cells(spark, data, n, cells):
+    from unittest.mock import patch
+
+    df = spark.createDataFrame([(v,) for v in data], "v string")
+    counts = sorted(((-data.count(v), v is not None, v) for v in set(data)), key=lambda x: (x[0], x[1], x[2] or ""))
+    with patch.object(values, "CELLS", cells):
+        got = values.top_values(df, "v", n).collect()
+    assert [tuple(r) for r in got] == [(v, -c) for c, _, v in counts[:n]]
+
+
+def test_top_values_of_many_rare_ones(spark):
+    """The fullest cells do not settle it at first: rare values fill cells beside the frequent ones."""
+    rare = spark.range(300_000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("v"))
+    some = spark.range(40).select(F.explode(F.array_repeat(F.concat(F.lit("f"), "id"), 3)).alias("v"))
+    got = values.top_values(rare.unionByName(some), "v", 41).collect()
+    assert sorted(r["v"] for r in got if r["n"] == 3) == sorted(f"f{i}" for i in range(40))
+    assert got[-1]["n"] == 1 and got[-1]["v"] == "r0"
+
+
+def test_top_dimension_values_pass_over_unknown_ids(spark):
+    ids = [["a"]] * 9 + [["b", "x"]] * 5 + [["c"]] * 3 + [["y"]] * 2
+    df = spark.createDataFrame([(i,) for i in ids], "ids array<string>")
+    dim = spark.createDataFrame([("x", "X"), ("y", "Y"), ("c", "C"), ("c", "D")], "id string, name string")
+    got = values.top_dimension_values(df, "ids", dim, "id", "name", 3).collect()
+    assert [tuple(r) for r in got] == [("x", "X", 5), ("c", "C", 3), ("c", "D", 3)]
+    assert values.top_dimension_values(df, "ids", dim.limit(0), "id", "name", 3).count() == 0
+
+
 def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
     profile = profiles.numeric_profile(df).first()
@@ -254,6 +311,7 @@ def test_case_variants(spark):
     df = spark.createDataFrame([("HIV",), ("hiv",), ("Hiv",), ("flu",), ("Flu",), ("x",)], "v string")
     got = values.case_variants(df, "v", n=1)
     assert rows(got) == [("hiv", 3, ["HIV", "Hiv", "hiv"])]
+    assert rows(values.case_variants(df, "v", n=1, shown=2)) == [("hiv", 3, ["HIV", "Hiv"])]
 
 
 def test_distinct_list_values(spark):
