@@ -13,8 +13,6 @@ slices, so that a length which a third of all pieces have is no single task) and
 
 from __future__ import annotations
 
-import functools
-import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from accrual.llm.common import free_name, stored
+from accrual.llm.word_ids import word_ids
 
 CAPACITY = 1024
 END = 2
-BATCH_CHARS = 1 << 20
+BATCH_IDS = 1 << 20
 
 
 @dataclass
@@ -142,37 +141,36 @@ def best_fit_slots(pieces: DataFrame, length: str = "length", capacity: int = CA
     )
 
 
-@functools.lru_cache(maxsize=1)
-def _loaded(serial: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(serial)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
-    return tokenizer
-
-
-def _runs_of_texts(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of runs with about ``BATCH_CHARS`` characters; a longer text is a run of its own."""
-    held, size, first = [], 0, 0
-    for at, text in enumerate(texts):
-        text = text.as_py() or ""
-        if held and size + len(text) > BATCH_CHARS:
-            yield first, held
-            held, size, first = [], 0, at
-        held.append(text)
-        size += len(text)
-    if held:
-        yield first, held
-
-
 def cuts_of(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, end) of the pieces of ``length`` ids: the first takes the remainder, the others are full."""
     first = (length - 1) % capacity + 1
     return [(0, first), *((at, at + capacity) for at in range(first, length, capacity))]
 
 
+def _cut_texts(
+    texts: pa.Array, encoder, last: bytes, capacity: int, keep_ids: bool
+) -> Iterator[tuple[list[int], dict[str, list]]]:
+    """(row of each piece, its columns), for about ``BATCH_IDS`` ids at a time."""
+    rows, out, held = [], {c: [] for c in ("piece", "start", "length", "ids_crc32", "ids")}, 0
+    for at, text in enumerate(texts):
+        ids = memoryview(encoder.encode(text.as_py() or "") + last)
+        for number, (low, high) in enumerate(cuts_of(len(ids) // 4, capacity)):
+            piece = ids[4 * low : 4 * high]
+            rows.append(at)
+            out["piece"].append(number)
+            out["start"].append(low)
+            out["length"].append(high - low)
+            out["ids_crc32"].append(zlib.crc32(piece))
+            if keep_ids:
+                out["ids"].append(np.frombuffer(piece, dtype="<i4"))
+        held += len(ids) // 4
+        if held >= BATCH_IDS:
+            yield rows, out
+            rows, out, held = [], {c: [] for c in out}, 0
+    if rows:
+        yield rows, out
+
+
 def token_pieces(
     documents: DataFrame,
     serial: str,
@@ -199,22 +197,10 @@ def token_pieces(
     names = [c for c in kept.columns if c != text]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _loaded(shipped.value)
+        encoder, last = word_ids(shipped.value), np.array([end], dtype="<u4").tobytes()
         for given in batches:
-            for first, texts in _runs_of_texts(given.column(source)):
-                owner, out = [], {c: [] for c in made}
-                for at, found in enumerate(tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                    ids = np.array([*found.ids, end], dtype="<u4")
-                    for number, (low, high) in enumerate(cuts_of(len(ids), capacity)):
-                        owner.append(first + at)
-                        out["piece"].append(number)
-                        out["start"].append(low)
-                        out["length"].append(high - low)
-                        out["ids_crc32"].append(zlib.crc32(ids[low:high].tobytes()))
-                        if keep_ids:
-                            out["ids"].append(ids[low:high].astype(np.int32))
-                rows = pa.array(owner, type=pa.int64())
-                columns = [given.column(c).take(rows) for c in names]
+            for rows, out in _cut_texts(given.column(source), encoder, last, capacity, keep_ids):
+                columns = [given.column(c).take(pa.array(rows, type=pa.int64())) for c in names]
                 columns += [pa.array(out[c], type=kinds[c]) for c in made]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, *made])
 
