@@ -3,29 +3,33 @@
 select  topic -> topic       the documents an ingest run takes
 silver  topic -> folder      documents to trials, sites and conditions
 gold    folder               histories and features from the silver tables
-check   folder               references between the tables that name nothing
+check   folder               references between the tables that name nothing; fails if there are any
 publish folder -> topics     the silver and gold tables as keyed records
 load    topic -> folder      one continuous load, until stopped or drained
 compact folder               fold a load's finished batches into a snapshot
 train   folder area_map      fit, evaluate and promote the model
 rank    folder plans ...     candidate sites of planned studies, ranked
 export  folder out           dashboard lists as CSV
-profile folder out           profiles of the gold tables as CSV
+profile folder out           profiles of the gold tables as CSV; with a topic also of how it writes conditions
+sample  topic -> folder      the report over a set of raw documents as CSV
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from accrual import schemas
 from accrual.ml import ranking, training
 from accrual.operators.areas import AREAS
 from accrual.operators.joins import fk_violations
-from accrual.plans import gold, reports, silver
-from accrual.session import build_session
+from accrual.operators.latest import latest_per_key
+from accrual.plans import gold, reports, sample, silver
+from accrual.session import build_session, durable
 from accrual.sources.landing import select_documents
 from accrual.sources.tables import export_csv, load_csv
-from accrual.sources.topics import read_topic, write_topic
+from accrual.sources.topics import decode_json, read_topic, write_topic
 from accrual.streaming import loads
 
 # Table, and the key its records are published under.
@@ -36,6 +40,13 @@ PUBLISHED = {
     "trial_features": "nct_id",
 }
 
+# Child, parent and the key by which one names the other.
+REFERENCES = [
+    ("trial_sites", "trials", ["nct_id"]),
+    ("trial_features", "trials", ["nct_id"]),
+    ("site_conditions_history", "site_history", ["country", "city", "zip"]),
+]
+
 
 def _arguments(given: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="accrual")
@@ -68,7 +79,8 @@ def _arguments(given: list[str] | None) -> argparse.Namespace:
     added.add_argument("--rounds", type=int, default=training.MAX_ITER)
     job("rank", "folder", "area_map", "plans", "choices", "out")
     job("export", "folder", "out")
-    job("profile", "folder", "out")
+    job("profile", "folder", "out", topic="studies")
+    job("sample", "out", topic="studies")
     return parser.parse_args(given)
 
 
@@ -90,8 +102,17 @@ def main(given: list[str] | None = None) -> None:
     elif args.job == "gold":
         gold.write_gold(table("trials"), table("trial_sites"), args.folder)
     elif args.job == "check":
-        for child in ("trial_sites", "trial_features"):
-            fk_violations(table(child), table("trials"), ["nct_id"]).show(truncate=False)
+        broken = 0
+        for child, parent, keys in REFERENCES:
+            found = fk_violations(table(child), table(parent), keys).persist()
+            if number := found.count():
+                print(f"{child}: {number} keys that {parent} lacks")
+                found.show(truncate=False)
+            broken += number
+            found.unpersist()
+        if broken:
+            spark.stop()
+            raise SystemExit(f"{broken} references name nothing")
     elif args.job == "publish":
         for name, key in PUBLISHED.items():
             files = args.files and f"{args.files}/{name}"
@@ -135,8 +156,16 @@ def main(given: list[str] | None = None) -> None:
         )
     elif args.job == "profile":
         found = reports.gold_report(table("trial_features"), table("site_history"))
+        if args.files or args.servers:
+            flat = silver.flatten_studies(decode_json(topic(), schemas.STUDY))
+            newest = latest_per_key(flat, ["nct_id"], [F.col(c).desc() for c in silver.NEWEST_FIRST])
+            documents = durable(newest.select("nct_id", "conditions", "meshes"))
+            found |= reports.conditions_report(documents, table("trial_features"), table("dim_mesh_conditions"))
         for name, frame in found.items():
             export_csv(frame, f"{args.out}/{name}")
+    elif args.job == "sample":
+        metrics = durable(sample.study_metrics(decode_json(topic(), schemas.STUDY_PROFILE)))
+        export_csv(sample.sample_report(metrics), f"{args.out}/sample")
     spark.stop()
 
 

@@ -15,21 +15,33 @@ def exploded(df: DataFrame, items: Column | str, out: str = "value", outer: bool
 
 # Values are first counted by a hash with this many results.
 CELLS = 1 << 16
+# Up to this size of the input one shuffle of all its values is cheaper than reading it again.
+PLAIN_BYTES = 256 << 20
 
 
 def _cell(value: str) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(CELLS)).cast("int")
 
 
-def top_values(df: DataFrame, value: str, n: int, count: str = "n") -> DataFrame:
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes of the inputs that ``df`` reads, as Catalyst knows them; very many where it does not."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def top_values(
+    df: DataFrame, value: str, n: int, count: str = "n", plain_bytes: int = PLAIN_BYTES
+) -> DataFrame:
     """The ``n`` most frequent values; ties in value order, NULL first.
 
-    Rows are counted per hash cell first, which shuffles at most ``CELLS`` counts per task however many
+    Inputs of at most ``plain_bytes`` are counted in one aggregation. Beyond that, rows are counted per hash cell first, which shuffles at most ``CELLS`` counts per task however many
     values there are. No value is more frequent than its cell. The values of the fullest cells are then
     counted exactly; where the n-th of them is not above every other cell, the cells that may still hold
-    a better one are counted as well. The answer is exact for any data. ``df`` is read two or three
-    times. Only the cells' counts and the ``n`` rows of the answer come to the driver.
+    a better one are counted as well. The answer is the same either way, and exact. ``df`` is then read
+    two or three times. Only the cells' counts and the ``n`` rows of the answer come to the driver.
     """
+    if _input_bytes(df) <= plain_bytes:
+        return _first(df.groupBy(value).agg(F.count("*").alias(count)), value, n, count)
     cells = df.groupBy(_cell(value).alias("cell")).agg(F.count("*").alias("n")).collect()
     cells = sorted(((r["n"], r["cell"]) for r in cells), reverse=True)
 
@@ -54,14 +66,14 @@ def _first(counts: DataFrame, value: str, n: int, count: str) -> DataFrame:
 
 
 def top_list_values(
-    df: DataFrame, items: str, n: int, lacking: str | None = None, count: str = "n"
+    df: DataFrame, items: str, n: int, lacking: str | None = None, count: str = "n", **options
 ) -> DataFrame:
     """The ``n`` most frequent list elements; ``lacking`` keeps rows where that other list is
-    NULL or empty.
+    NULL or empty. ``options`` go to ``top_values``.
     """
     if lacking is not None:
         df = df.filter(F.col(lacking).isNull() | (F.size(lacking) == 0))
-    return top_values(df.select(F.explode(items).alias("value")), "value", n, count)
+    return top_values(df.select(F.explode(items).alias("value")), "value", n, count, **options)
 
 
 def distinct_list_values(df: DataFrame, items: str, approximate: bool = False) -> DataFrame:
@@ -78,19 +90,22 @@ def distinct_list_values(df: DataFrame, items: str, approximate: bool = False) -
 
 
 def top_dimension_values(
-    df: DataFrame, ids: str, dim: DataFrame, dim_id: str, dim_name: str, n: int
+    df: DataFrame, ids: str, dim: DataFrame, dim_id: str, dim_name: str, n: int, plain_bytes: int = PLAIN_BYTES
 ) -> DataFrame:
     """The ``n`` most frequent ids of a list column, with their dimension name.
 
-    The most frequent ids meet the dimension, not all of them. Ids that it lacks do not count; while
-    they leave fewer than ``n`` rows, twice as many ids are taken.
+    Inputs of at most ``plain_bytes`` are counted per id and joined. Beyond that, only the most frequent
+    ids meet the dimension; while ids that it lacks leave fewer than ``n`` rows, twice as many are taken.
     """
     items = df.select(F.explode(ids).alias(dim_id))
     names = dim.select(dim_id, dim_name)
     order = [F.col("n_trials").desc(), F.col(dim_id), F.col(dim_name)]
+    if _input_bytes(items) <= plain_bytes:
+        counted = items.groupBy(dim_id).agg(F.count("*").alias("n_trials"))
+        return counted.join(names, dim_id).select(dim_id, dim_name, "n_trials").orderBy(*order).limit(n)
     taken = n
     while True:
-        best = top_values(items, dim_id, taken, "n_trials")
+        best = top_values(items, dim_id, taken, "n_trials", plain_bytes)
         rows = best.join(names, dim_id).select(dim_id, dim_name, "n_trials").orderBy(*order).limit(n)
         found = rows.collect()
         if len(found) == n or best.count() < taken:

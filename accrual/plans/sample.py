@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accrual.functions import count_where, distinct_count, field_list, list_size, non_empty
-from accrual.operators.profiles import coverage, missing_rates, sum_ratios
+from accrual.operators.order_stats import nearest_rank_quantiles
+from accrual.operators.profiles import coverage, missing_rates, outlier_share, sum_ratios
 from accrual.operators.values import value_shares
 
 # Statuses of studies that ended early, and what the report looks at.
@@ -35,6 +36,8 @@ MISSING_FIELDS = [
     "is_fda_regulated_drug",
     "is_fda_regulated_device",
 ]
+ENROLLMENT_QUANTILES = {"p50": 0.5, "p90": 0.9, "p99": 0.99, "max": 1.0}
+LARGE_ENROLLMENT = 10_000
 SHARE_FIELDS = [
     "overall_status",
     "lead_sponsor_class",
@@ -136,3 +139,54 @@ def missing_report(metrics: DataFrame) -> DataFrame:
 def share_report(metrics: DataFrame) -> DataFrame:
     """(column, value, n, pct) of the distributed fields, most frequent first."""
     return value_shares(metrics, SHARE_FIELDS).orderBy("column", F.col("n").desc(), "value")
+
+
+def enrollment_report(metrics: DataFrame) -> DataFrame:
+    """(name, amount): nearest-rank quantiles of the enrolment and the mean number of sites."""
+    quantiles = nearest_rank_quantiles(metrics, ["enrollment_count"], ENROLLMENT_QUANTILES)
+    rows = quantiles.unpivot(["column"], list(ENROLLMENT_QUANTILES), "name", "amount")
+    sites = metrics.agg(F.avg("n_sites").alias("amount"))
+    return rows.select("name", "amount").unionByName(
+        sites.select(F.lit("sites per trial").alias("name"), "amount")
+    )
+
+
+def sample_report(metrics: DataFrame) -> DataFrame:
+    """Everything the report over a set of documents says, as one table.
+
+    ``report`` is ``coverage``, ``missing``, ``share`` or ``enrollment``; ``name`` the check or field and
+    ``value`` the field's value for shares. ``part`` of ``whole`` rows with their ``pct``, or an
+    ``amount``. ``metrics`` is read several times, so it should be stored.
+    """
+    total = metrics.agg(F.count("*")).first()[0]
+    outliers = outlier_share(metrics, "enrollment_count", LARGE_ENROLLMENT)
+    parts = {
+        "coverage": coverage_report(metrics).select(F.col("check").alias("name"), "part", "whole", "pct"),
+        "missing": missing_report(metrics).select(
+            F.col("column").alias("name"),
+            F.col("missing").alias("part"),
+            F.col("row_count").alias("whole"),
+            F.col("missing_pct").alias("pct"),
+        ),
+        "share": value_shares(metrics, SHARE_FIELDS).select(
+            F.col("column").alias("name"),
+            "value",
+            F.col("n").alias("part"),
+            F.lit(total).cast("bigint").alias("whole"),
+            "pct",
+        ),
+        "enrollment": enrollment_report(metrics).unionByName(
+            outliers.select(
+                F.lit("large").alias("name"),
+                F.col("outliers").alias("part"),
+                F.col("n").alias("whole"),
+                F.col("outlier_pct").alias("pct"),
+            ),
+            allowMissingColumns=True,
+        ),
+    }
+    found = None
+    for report, rows in parts.items():
+        rows = rows.withColumn("report", F.lit(report))
+        found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
+    return found.select("report", "name", "value", "part", "whole", "pct", "amount")

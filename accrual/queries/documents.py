@@ -8,10 +8,11 @@ from accrual import schemas
 from accrual.functions import age_years, any_term, partial_date, pipe_joined
 from accrual.operators.dims import dimension_from_lists
 from accrual.operators.latest import latest_per_key
-from accrual.plans import silver
+from accrual.plans import sample, silver
 from accrual.queries import shapes
-from accrual.queries.registry import query
+from accrual.queries.registry import query, settled
 from accrual.queries.shapes import DOCS_SQL, table
+from accrual.session import durable
 from accrual.sources.landing import payload_hash, select_incremental
 from accrual.sources.topics import CORRUPT, decode_json, keyed_json, split_bad_records, unwrap_envelope
 
@@ -401,9 +402,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS nct_id,
 FROM d""",
 )
 def list_metrics(spark, sf_dir):
-    from accrual.plans.sample import study_metrics
-
-    metrics = study_metrics(_profile_documents(spark, sf_dir))
+    metrics = sample.study_metrics(_profile_documents(spark, sf_dir))
     return metrics.select(
         "nct_id", "n_sites", "n_countries", "sites_with_status", "sites_with_geo",
         "n_collaborators", "n_conditions", "n_keywords", "n_mesh_terms", "n_interventions",
@@ -411,6 +410,32 @@ def list_metrics(spark, sf_dir):
     )
 
 
+ALWAYS_MISSING = [
+    "status_verified_date", "start_date", "primary_completion_date", "completion_date", "lead_sponsor_name",
+    "lead_sponsor_class", "study_type", "allocation", "intervention_model", "masking", "enrollment_type",
+    "minimum_age", "maximum_age", "sex", "healthy_volunteers", "has_dmc", "is_fda_regulated_drug",
+    "is_fda_regulated_device",
+]
+MISSING_SQL = {
+    "overall_status": "o_orderstatus NOT IN ('F', 'P')",
+    "why_stopped": "NOT urgent",
+    "enrollment_count": "FALSE",
+    "criteria_length": "FALSE",
+    **{name: "TRUE" for name in ALWAYS_MISSING},
+}
+SHARE_SQL = {
+    "overall_status": "CASE o_orderstatus WHEN 'F' THEN 'TERMINATED' WHEN 'P' THEN 'COMPLETED' END",
+    **{
+        name: "CAST(NULL AS VARCHAR)"
+        for name in ("lead_sponsor_class", "study_type", "sex", "start_date_type", "enrollment_type")
+    },
+}
+ENROLLMENT_SQL = {
+    "p50": "floor(n * CAST(0.5 AS DOUBLE))", "p90": "floor(n * CAST(0.9 AS DOUBLE))",
+    "p99": "floor(n * CAST(0.99 AS DOUBLE))", "max": "n - 1",
+}
+
+
 @query(
     "sample_report",
     """WITH d AS (
@@ -424,17 +449,36 @@ m AS (
          ELSE CASE WHEN c_acctbal > 0 THEN 3 ELSE 1 END END AS sites_with_geo
   FROM d),
 c AS (
-  SELECT 'mesh terms' AS "check", count(*) FILTER (o_orderstatus = 'O') AS part, count(*) AS whole FROM m
-  UNION ALL SELECT 'stop reason', count(*) FILTER (o_orderstatus = 'F' AND urgent),
+  SELECT 'coverage' AS report, 'mesh terms' AS name, CAST(NULL AS VARCHAR) AS value,
+         count(*) FILTER (o_orderstatus = 'O') AS part, count(*) AS whole FROM m
+  UNION ALL SELECT 'coverage', 'stop reason', NULL, count(*) FILTER (o_orderstatus = 'F' AND urgent),
        count(*) FILTER (o_orderstatus = 'F') FROM m
-  UNION ALL SELECT 'site status', CAST(sum(sites_with_status) AS BIGINT), CAST(sum(n_sites) AS BIGINT) FROM m
-  UNION ALL SELECT 'site geo point', CAST(sum(sites_with_geo) AS BIGINT), CAST(sum(n_sites) AS BIGINT) FROM m)
-SELECT "check", part, whole, round(100.0::DOUBLE * part / whole, 1) AS pct FROM c""",
+  UNION ALL SELECT 'coverage', 'site status', NULL, CAST(sum(sites_with_status) AS BIGINT), CAST(sum(n_sites) AS BIGINT) FROM m
+  UNION ALL SELECT 'coverage', 'site geo point', NULL, CAST(sum(sites_with_geo) AS BIGINT), CAST(sum(n_sites) AS BIGINT) FROM m
+  UNION ALL SELECT 'enrollment', 'large', NULL, count(*) FILTER (o_custkey > 10000), count(o_custkey) FROM m
+"""
+    + "".join(
+        f"  UNION ALL SELECT 'missing', '{name}', NULL, count(*) FILTER ({test}), count(*) FROM m\n"
+        for name, test in MISSING_SQL.items()
+    )
+    + "".join(
+        f"  UNION ALL SELECT 'share', '{name}', {value}, count(*), (SELECT count(*) FROM m) FROM m GROUP BY 3\n"
+        for name, value in SHARE_SQL.items()
+    )
+    + """),
+e AS (SELECT o_custkey AS v, row_number() OVER (ORDER BY o_custkey) - 1 AS place, count(*) OVER () AS n FROM m)
+SELECT report, name, value, part, whole, round(100.0::DOUBLE * part / whole, 1) AS pct, CAST(NULL AS DOUBLE) AS amount FROM c
+UNION ALL SELECT 'enrollment', 'sites per trial', NULL, NULL, NULL, NULL, round(avg(n_sites) + 1e-9, 6) FROM m
+"""
+    + "".join(
+        f"UNION ALL SELECT 'enrollment', '{name}', NULL, NULL, NULL, NULL, CAST(max(v) AS DOUBLE) FROM e WHERE place = {at}\n"
+        for name, at in ENROLLMENT_SQL.items()
+    ),
 )
 def sample_report(spark, sf_dir):
-    from accrual.plans.sample import coverage_report, study_metrics
-
-    return coverage_report(study_metrics(_profile_documents(spark, sf_dir)))
+    """All parts of the report: coverage, missing fields, shares of values, enrolment."""
+    metrics = durable(sample.study_metrics(_profile_documents(spark, sf_dir)))
+    return sample.sample_report(metrics).withColumn("amount", settled("amount"))
 
 
 @query(

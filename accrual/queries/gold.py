@@ -205,14 +205,13 @@ def condition_list(spark, sf_dir):
     )
 
 
-@query(
-    "condition_topn",
-    f"""WITH {RAW_TRIALS_SQL}
+CONDITION_TOPN_SQL = f"""WITH {RAW_TRIALS_SQL}
 SELECT mesh_id AS mesh_condition_id, p_name AS mesh_condition_name, count(*) AS n_trials
 FROM (SELECT unnest(ids) AS mesh_id FROM raw_trials) JOIN part ON mesh_id = 'P' || p_partkey
-GROUP BY ALL ORDER BY n_trials DESC, mesh_condition_id, mesh_condition_name LIMIT 40""",
-)
-def condition_topn(spark, sf_dir):
+GROUP BY ALL ORDER BY n_trials DESC, mesh_condition_id, mesh_condition_name LIMIT 40"""
+
+
+def _top_conditions(spark, sf_dir, **options):
     return top_dimension_values(
         shapes.raw_trials(spark, sf_dir),
         "mesh_conditions_ids",
@@ -220,9 +219,21 @@ def condition_topn(spark, sf_dir):
         "mesh_condition_id",
         "mesh_condition_name",
         40,
+        **options,
     )
 
 
+@query("condition_topn", CONDITION_TOPN_SQL)
+def condition_topn(spark, sf_dir):
+    return _top_conditions(spark, sf_dir)
+
+
+@query("condition_topn_by_cells", CONDITION_TOPN_SQL)
+def condition_topn_by_cells(spark, sf_dir):
+    """The same by hash cells, as large inputs have it."""
+    return _top_conditions(spark, sf_dir, plain_bytes=0)
+
+
 PARAMETERS = ["study_type", "primary_purpose", "lead_sponsor_class", "sex", "phase"]
 
 

@@ -9,6 +9,7 @@ from accrual.operators.joins import fk_violations
 from accrual.operators.latest import latest_per_key
 from accrual.queries.registry import query
 from accrual.queries.shapes import table
+from accrual.sources.landing import payload_hash
 
 
 @query(
@@ -102,19 +103,20 @@ OR o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 )
 def changed_payloads(spark, sf_dir):
     """Orders whose document changed (urgent ones) or that are not stored yet (those without
-    lines)."""
+    lines). The landed documents spell their keys in another order and with other white space."""
     orders = table(spark, sf_dir, "orders")
-    text = F.concat_ws(":", "o_orderstatus", F.col("o_custkey").cast("string"))
-    stored_text = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("older")).otherwise(text)
+    key, status = F.col("o_custkey").cast("string"), F.col("o_orderstatus")
+    known = F.format_string('{"status":"%s","customer":%s}', status, key)
+    older = F.format_string('{"status":"%s","customer":%s,"old":true}', status, key)
+    stored_text = F.when(F.col("o_orderpriority") == "1-URGENT", older).otherwise(known)
     stored = (
         orders.join(
             table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")),
             "o_orderkey",
             "left_semi",
         )
-        .select(F.col("o_orderkey").alias("nct_id"), F.sha2(stored_text, 256).alias("payload_hash"))
-    )
-    landed = orders.select(
-        F.col("o_orderkey").alias("nct_id"), F.sha2(text, 256).alias("payload_hash")
+        .select(F.col("o_orderkey").alias("nct_id"), payload_hash(stored_text).alias("payload_hash"))
     )
+    again = F.format_string('{ "customer" : %s, "status" : "%s" }', key, status)
+    landed = orders.select(F.col("o_orderkey").alias("nct_id"), payload_hash(again).alias("payload_hash"))
     return merge.changed_payloads(stored, landed).select("nct_id")

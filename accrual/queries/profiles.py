@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from accrual.operators import profiles, values
 from accrual.operators.order_stats import nearest_rank_quantiles
-from accrual.queries.registry import query, settled
+from accrual.queries.registry import NUDGE, query, settled
 from accrual.queries.shapes import table
+from accrual.sources.topics import spread
 
 WORDS_SQL = """
 words AS (
@@ -19,20 +20,27 @@ words AS (
 
 def _words(spark, sf_dir):
     split = F.split("text", r"[ \t\n\x0B\f\r]+")
-    return table(spark, sf_dir, "documents").select(
+    # A small file is one row group, and its texts would be split in one task.
+    return spread(table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "lang", "source", F.filter(split, lambda w: w != "").alias("words")
     )
 
 
-@query(
-    "topn_values",
-    f"""WITH {WORDS_SQL}
-SELECT value, count(*) AS n FROM words GROUP BY value ORDER BY n DESC, value LIMIT 40""",
-)
+TOPN_SQL = f"""WITH {WORDS_SQL}
+SELECT value, count(*) AS n FROM words GROUP BY value ORDER BY n DESC, value LIMIT 40"""
+
+
+@query("topn_values", TOPN_SQL)
 def topn_values(spark, sf_dir):
     return values.top_list_values(_words(spark, sf_dir), "words", 40)
 
 
+@query("topn_by_cells", TOPN_SQL)
+def topn_by_cells(spark, sf_dir):
+    """The same by hash cells and an exact count of what they leave, as large inputs have it."""
+    return values.top_list_values(_words(spark, sf_dir), "words", 40, plain_bytes=0)
+
+
 @query(
     "topn_missing",
     f"""WITH {WORDS_SQL}
@@ -211,30 +219,52 @@ def categorical_profile(spark, sf_dir):
     return profiles.categorical_profile(lines)
 
 
-@query(
-    "table_profile",
-    """SELECT 'orders' AS "table", 'o_orderstatus' AS "column", 'categorical' AS kind,
-       'count of ' || o_orderstatus AS metric, CAST(count(*) AS VARCHAR) AS value FROM orders GROUP BY o_orderstatus
-UNION ALL SELECT 'orders', 'o_orderstatus', 'categorical', 'n_distinct', CAST(count(DISTINCT o_orderstatus) AS VARCHAR) FROM orders
-UNION ALL SELECT 'orders', 'o_custkey', 'numeric', 'n', CAST(count(o_custkey) AS VARCHAR) FROM orders
-UNION ALL SELECT 'orders', 'urgent', 'boolean', 'true_count', CAST(count(*) FILTER (o_orderpriority = '1-URGENT') AS VARCHAR) FROM orders""",
-)
+# Every metric as a number where it is one and as text where it is not.
+NUMERIC_METRICS = [
+    "row_count", "n", "null_count", "null_pct", "mean", "min", "max", "p25", "median", "p75", "p99",
+]
+
+
+def _tidy_sql(column, kind, source, metrics, flags):
+    parts = [
+        f"SELECT \"column\", '{kind}' AS kind, '{m}' AS metric, CAST({m} AS DOUBLE) AS number, CAST(NULL AS VARCHAR) AS text FROM s"
+        for m in metrics
+    ]
+    parts.append(f"SELECT \"column\", '{kind}', 'flags', NULL, {flags} FROM s")
+    return f"(WITH s AS ({source}) {' UNION ALL '.join(parts)})"
+
+
+def _profile_sql():
+    parts = [
+        _tidy_sql(c, "numeric", _numeric_sql(c, "o"), NUMERIC_METRICS, "flags")
+        for c in ("o_orderkey", "o_custkey", "o_totalprice")
+    ]
+    true, counts = "o_orderpriority = '1-URGENT'", ["row_count", "true_count", "false_count", "null_count", "null_pct"]
+    urgent = f"""SELECT 'urgent' AS "column", count(*) AS row_count, count(*) FILTER ({true}) AS true_count,
+  count(*) FILTER (NOT ({true})) AS false_count, 0 AS null_count, 0 AS null_pct, '' AS flags FROM o"""
+    parts.append(_tidy_sql("urgent", "boolean", urgent, counts, "flags"))
+    for c in ("o_orderstatus", "o_orderpriority", "o_orderdate"):
+        listed = _categorical_sql(c, c, "o")
+        columns = ["row_count", "null_count", "null_pct", "n_distinct"]
+        parts.append(_tidy_sql(c, "categorical", f"SELECT * FROM ({listed}) WHERE place = 1", columns, "flags"))
+        parts.append(
+            f"(SELECT \"column\", 'categorical', 'count of ' || value, CAST(value_count AS DOUBLE), NULL FROM ({listed}))"
+        )
+    return "WITH o AS (SELECT * FROM orders) SELECT 'orders' AS \"table\", * FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+@query("table_profile", _profile_sql())
 def table_profile(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(
-        "o_custkey", "o_orderstatus", (F.col("o_orderpriority") == "1-URGENT").alias("urgent")
-    )
-    tidy = profiles.table_profile(orders, "orders")
-    checked = F.struct("kind", "metric").isin(
-        *[
-            F.struct(F.lit(k), F.lit(m))
-            for k, m in [
-                ("categorical", "n_distinct"),
-                ("numeric", "n"),
-                ("boolean", "true_count"),
-            ]
-        ]
+    """Every metric of every column of the orders, and of one more that is true or false."""
+    orders = table(spark, sf_dir, "orders").withColumn("urgent", F.col("o_orderpriority") == "1-URGENT")
+    number = F.when(F.col("metric") != "flags", F.col("value")).cast("double")
+    rounded = F.round(number + F.lit(NUDGE), 6)
+    kept = F.col("metric").isin("mean", "p25", "median", "p75", "p99")
+    return profiles.table_profile(orders, "orders").select(
+        "table", "column", "kind", "metric",
+        F.when(kept, rounded).otherwise(number).alias("number"),
+        F.when(F.col("metric") == "flags", F.col("value")).alias("text"),
     )
-    return tidy.filter(checked | F.col("metric").startswith("count of "))
 
 
 @query(

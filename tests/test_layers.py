@@ -117,3 +117,39 @@ def test_continuous_loads_reach_the_batch_tables(spark, folder, tmp_path):
     query = loads.start(spark, "raw", f"{tmp_path}/raw", files=f"{folder}/topic")
     assert query.awaitTermination(120)
     assert rows(loads.current(spark, "raw", f"{tmp_path}/raw"), "nct_id") == [("A",), ("B",), ("C",)]
+
+
+@pytest.fixture()
+def job(spark, monkeypatch):
+    """Runs a job of the command line in the tests' session, which stays open."""
+    from accrual import __main__ as command
+
+    class Session:
+        def __getattr__(self, name):
+            return (lambda: None) if name == "stop" else getattr(spark, name)
+
+    monkeypatch.setattr(command, "build_session", lambda name: Session())
+    return lambda *arguments: command.main([str(a) for a in arguments])
+
+
+def test_check_fails_on_broken_references(spark, folder, job, tmp_path):
+    job("check", folder)
+    for name in ("trials", "trial_sites", "trial_features", "site_conditions_history", "site_history"):
+        kept = spark.read.parquet(f"{folder}/{name}")
+        kept = kept.where("nct_id <> 'A'") if name == "trials" else kept
+        kept = kept.limit(0) if name == "site_history" else kept
+        kept.write.parquet(f"{tmp_path}/{name}")
+    with pytest.raises(SystemExit, match="references name nothing"):
+        job("check", tmp_path)
+
+
+def test_profile_and_sample_jobs(spark, folder, job, tmp_path):
+    job("profile", folder, tmp_path / "p", "--files", f"{folder}/topic")
+    assert load_csv(spark, f"{tmp_path}/p/top_conditions", "value string, n long").count() == 3
+    assert load_csv(spark, f"{tmp_path}/p/row_counts", "t string, n long").count() == 2
+    job("sample", tmp_path / "s", "--files", f"{folder}/topic")
+    schema = "report string, name string, value string, part long, whole long, pct double, amount double"
+    report = load_csv(spark, f"{tmp_path}/s/sample", schema)
+    assert {r["report"] for r in report.collect()} == {"coverage", "missing", "share", "enrollment"}
+    assert report.where("name = 'mesh terms'").first()["part"] == 2
+    assert report.where("name = 'max'").first()["amount"] == 100.0

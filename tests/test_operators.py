@@ -241,15 +241,16 @@ def test_top_values_for_any_cells(spark, data, n, cells):
     df = spark.createDataFrame([(v,) for v in data], "v string")
     counts = sorted(((-data.count(v), v is not None, v) for v in set(data)), key=lambda x: (x[0], x[1], x[2] or ""))
     with patch.object(values, "CELLS", cells):
-        got = values.top_values(df, "v", n).collect()
+        got = values.top_values(df, "v", n, plain_bytes=0).collect()
     assert [tuple(r) for r in got] == [(v, -c) for c, _, v in counts[:n]]
+    assert values.top_values(df, "v", n).collect() == got
 
 
 def test_top_values_of_many_rare_ones(spark):
     """The fullest cells do not settle it at first: rare values fill cells beside the frequent ones."""
     rare = spark.range(300_000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("v"))
     some = spark.range(40).select(F.explode(F.array_repeat(F.concat(F.lit("f"), "id"), 3)).alias("v"))
-    got = values.top_values(rare.unionByName(some), "v", 41).collect()
+    got = values.top_values(rare.unionByName(some), "v", 41, plain_bytes=0).collect()
     assert sorted(r["v"] for r in got if r["n"] == 3) == sorted(f"f{i}" for i in range(40))
     assert got[-1]["n"] == 1 and got[-1]["v"] == "r0"
 
@@ -258,9 +259,10 @@ def test_top_dimension_values_pass_over_unknown_ids(spark):
     ids = [["a"]] * 9 + [["b", "x"]] * 5 + [["c"]] * 3 + [["y"]] * 2
     df = spark.createDataFrame([(i,) for i in ids], "ids array<string>")
     dim = spark.createDataFrame([("x", "X"), ("y", "Y"), ("c", "C"), ("c", "D")], "id string, name string")
-    got = values.top_dimension_values(df, "ids", dim, "id", "name", 3).collect()
-    assert [tuple(r) for r in got] == [("x", "X", 5), ("c", "C", 3), ("c", "D", 3)]
-    assert values.top_dimension_values(df, "ids", dim.limit(0), "id", "name", 3).count() == 0
+    for plain_bytes in (0, values.PLAIN_BYTES):
+        got = values.top_dimension_values(df, "ids", dim, "id", "name", 3, plain_bytes).collect()
+        assert [tuple(r) for r in got] == [("x", "X", 5), ("c", "C", 3), ("c", "D", 3)]
+        assert values.top_dimension_values(df, "ids", dim.limit(0), "id", "name", 3, plain_bytes).count() == 0
 
 
 def test_nan_counts_as_missing(spark):
