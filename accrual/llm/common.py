@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import ctypes.util
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,14 +21,33 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 _folders: set[str] = set()
+_scratch: list[list[str]] = []
+
+# Rows travel to Python workers in batches of at most this size; a larger row is a batch of its own.
+BATCH_BYTES = 8 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers find this package under the path it has on the driver."""
+    """Let Python workers find this package under the path it has on the driver, and bound their batches
+    by bytes: the default bounds rows, and 10 000 whole texts can be any size."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    if spark.conf.get(BATCH_CONF) != f"{BATCH_BYTES}b":
+        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
     return spark
 
 
+def release_memory() -> None:
+    """Give memory that this worker's libraries have freed back to the machine.
+
+    A worker is used again by later stages, and the C library keeps what it once had.
+    """
+    library = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(library), "malloc_trim", None) if library else None
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -70,9 +93,43 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: lineage ends here."""
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
+    if _scratch:
+        _scratch[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``stored`` writes inside is deleted at the end; a result has to be stored outside."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            delete(spark, path)
+
+
+@contextmanager
+def lasting() -> Iterator[None]:
+    """What ``stored`` writes inside stays, also within ``scratch``."""
+    held = _scratch[:]
+    _scratch.clear()
+    try:
+        yield
+    finally:
+        _scratch[:] = held
+
+
+# Rows of some numbers that may be broadcast: some 100 MB.
+BROADCAST_ROWS = 2_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A stored frame of few narrow columns, marked for a broadcast if it has at most ``BROADCAST_ROWS``
+    rows; beyond that it is joined by a shuffle, with the same result."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character as it is."""
     return F.translate(text, UPPER, UPPER.lower())
