@@ -40,8 +40,8 @@ def components(nodes, links):
     return [least.get(root(i)) for i in range(len(nodes))]
 
 
-def jaccard_links(texts, percent=90):
-    sets = [shingles(t) for t in texts]
+def jaccard_links(texts, percent=90, words=3):
+    sets = [shingles(t, words) for t in texts]
     return [
         (i, j)
         for i in range(len(sets))

@@ -11,7 +11,7 @@ def test_registration():
     import __spark_entry__ as driver
 
     names = set(driver.queries())
-    assert {n.split("_")[0] for n in callables()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in callables()} == {f"op{i}" for i in range(1, 14)}
     assert set(callables()) | {"pipeline"} <= names and set(oracles()) <= set(driver.oracle_sql())
 
 
@@ -26,7 +26,7 @@ def test_whole_pipeline(spark, monkeypatch):
     assert [d.columns for d in (language, jaccard, clean)] == [documents.columns] * 3
     assert language.count() == documents.where(F.col("text").rlike(r"\p{L}")).count()
     rows = language.select("doc_id", "text").collect()
-    roots = components([r["doc_id"] for r in rows], jaccard_links([r["text"] for r in rows]))
+    roots = components([r["doc_id"] for r in rows], jaccard_links([r["text"] for r in rows], percent=80, words=5))
     want = {c if shingles(r["text"]) else r["doc_id"] for r, c in zip(rows, roots)}
     assert {r["doc_id"] for r in jaccard.collect()} == want
     assert 0 < clean.count() < jaccard.count()
