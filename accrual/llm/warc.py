@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -149,13 +150,26 @@ def parse_records(data: bytes) -> Iterator[dict]:
         at = stop + 4
 
 
-def _read(frames: Iterator[pd.DataFrame], with_payload: bool) -> Iterator[pd.DataFrame]:
-    import zlib
+def unpacked(content: bytes) -> bytes:
+    """All gzip members of an archive, one after another; archives often have one for each record.
+
+    Zero bytes after the last member are padding. An archive that ends within a member is an error.
+    """
+    parts = []
+    while content:
+        member = zlib.decompressobj(wbits=47)
+        parts.append(member.decompress(content))
+        if not member.eof:
+            raise ValueError("the archive ends within a gzip member")
+        content = member.unused_data.lstrip(b"\x00")
+    return b"".join(parts)
 
+
+def _read(frames: Iterator[pd.DataFrame], with_payload: bool) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for content in frame["content"]:
             out = []
-            for r in parse_records(zlib.decompress(content, wbits=47)):
+            for r in parse_records(unpacked(content)):
                 response = r["WARC-Type"] == "response"
                 body = r["payload"]
                 out.append((

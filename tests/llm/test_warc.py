@@ -3,11 +3,12 @@ import gzip
 import hashlib
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 from corpora import prepared  # noqa: F401
 
 from accrual.llm.common import hot_counts, new_folder, salted_join
-from accrual.llm.warc import deduplicate_pages, parse_records, read_archives, resolve_revisits
+from accrual.llm.warc import deduplicate_pages, parse_records, read_archives, resolve_revisits, unpacked
 
 SCHEMA = "page_id long, url string, html string, extra string"
 TRICKY = "x\r\n\r\nWARC/1.1\r\n\r\ny é"
@@ -58,6 +59,25 @@ def test_archives_are_warc_and_payloads_come_back(spark):
     assert kept == {h or "" for _, _, h in PAGES}
 
 
+def test_archives_of_many_members(spark, tmp_path):
+    """One gzip member per record, as most writers have it, and padding at the end."""
+    folder = new_folder(spark, "test-warc")
+    deduplicate_pages(pages(spark), folder).count()
+    whole = b"".join(gzip.decompress(f.read_bytes()) for f in sorted(Path(folder.removeprefix("file:")).glob("*.gz")))
+    ends, at = [], 0
+    for r in parse_records(whole):
+        at = whole.index(b"\r\n\r\n", at) + 4 + int(r["Content-Length"]) + 4
+        ends.append(at)
+    members = [gzip.compress(whole[a:b]) for a, b in zip([0, *ends], ends)]
+    (tmp_path / "many.warc.gz").write_bytes(b"".join(members) + b"\x00" * 8)
+    back = read_archives(spark, str(tmp_path))
+    assert back.count() == len(PAGES) == len(members)
+    (tmp_path / "empty.warc.gz").write_bytes(b"")
+    assert read_archives(spark, str(tmp_path)).count() == len(PAGES)
+    with pytest.raises(ValueError):
+        unpacked(members[0][:-9])
+
+
 def test_resolution_keeps_rows(spark):
     assert resolve_revisits(pages(spark)).count() == len(PAGES)
 
