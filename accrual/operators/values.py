@@ -25,7 +25,7 @@ def _cell(value: str) -> Column:
 
 def _input_bytes(df: DataFrame) -> int:
     """Bytes of the inputs that ``df`` reads, as Catalyst knows them; very many where it does not."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
