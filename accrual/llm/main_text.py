@@ -36,7 +36,7 @@ SEED = 7
 
 # Element names of HTML by what they mean for the tree.
 SKIPPED = {"script", "style", "template", "head", "title"}
-# What stands in for something else; it may be inside a paragraph.
+# What stands in for something else.
 EMBEDDED = {"noscript", "object", "iframe", "canvas"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 TEXT_BLOCKS = {"p", "blockquote", "pre", "dd", "figcaption", "address"}
@@ -45,6 +45,9 @@ ITEMS = {"li", "dt", "td", "th", "tr", "option", "summary", "caption"}
 ARTICLES = {"article", "main"}
 OUTSIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "select", "textarea", "button", "label", "legend"}
 GENERIC = {"body", "div", "section", "ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "center", "figure", "details", "hgroup", "search", "ins"} | EMBEDDED
+# These stay in the run of text that they are in; elsewhere they are elements of their own.
+PHRASING = EMBEDDED | {"ins", "label", "button"}
+RUNS = {"p", "pre", "figcaption"} | HEADINGS
 BLOCKS = TEXT_BLOCKS | HEADINGS | ITEMS | ARTICLES | OUTSIDE | GENERIC
 CLOSES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 # Words in class, id and role that speak for and against article text.
@@ -78,7 +81,9 @@ class Page(HTMLParser):
     """The block elements of a page and its text blocks, in page order.
 
     ``blocks`` holds (node number, text); white space is one space, character references are decoded.
-    ``skip`` holds the open elements without text and the blocks open in them.
+    ``skip`` holds the open elements without text and the blocks open in them, ``inline`` the open
+    phrasing elements inside a run of text, which are no nodes. An advert's ``ins`` is one and leaves its
+    paragraph open.
     """
 
     def __init__(self, html: str):
@@ -87,6 +92,7 @@ class Page(HTMLParser):
         self.blocks: list[tuple[int, str]] = []
         self.stack = [0]
         self.skip: list[str] = []
+        self.inline: list[str] = []
         self.link = False
         self.run: list[str] = []
         self.feed(html)
@@ -105,6 +111,7 @@ class Page(HTMLParser):
     def _leave(self, depth: int) -> None:
         self.flush()
         del self.stack[depth:]
+        self.inline.clear()
         self.link = False
 
     def handle_starttag(self, tag, attrs):
@@ -126,9 +133,17 @@ class Page(HTMLParser):
             self.run.append(" ")
         if tag in VOID or tag not in BLOCKS or tag == "body":
             return
-        self.flush()
+        tokens, mark = set(), False
+        for name, value in attrs:
+            if name in ("class", "id", "role") and value:
+                tokens.update(t.lower() for t in _SPLIT.findall(value))
+            mark |= name == MARK
         names = [self.nodes[i].tag for i in self.stack]
-        if names[-1] == "p" and tag not in EMBEDDED:
+        if tag in PHRASING and names[-1] in RUNS and not (tag == "ins" and tokens & AGAINST):
+            self.inline.append(tag)
+            return
+        self.flush()
+        if names[-1] == "p" and tag not in PHRASING:
             self._leave(len(self.stack) - 1)
             names.pop()
         if tag in CLOSES:
@@ -138,11 +153,6 @@ class Page(HTMLParser):
                 if names[depth] == tag or (tag in ("td", "th") and names[depth] in ("td", "th")):
                     self._leave(depth)
                     break
-        tokens, mark = set(), False
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                tokens.update(t.lower() for t in _SPLIT.findall(value))
-            mark |= name == MARK
         parent = self.stack[-1]
         siblings, kinds = self.nodes[parent].children, self.nodes[parent].kinds
         node = Node(tag, parent, len(self.nodes), len(self.stack), tokens, mark, len(siblings))
@@ -152,7 +162,7 @@ class Page(HTMLParser):
         self.nodes.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        if tag not in SKIPPED and tag not in EMBEDDED:
+        if tag not in SKIPPED and tag not in PHRASING:
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
@@ -168,6 +178,9 @@ class Page(HTMLParser):
             self.link = False
         if tag not in BLOCKS or tag == "body":
             return
+        if tag in self.inline:
+            del self.inline[len(self.inline) - 1 - self.inline[::-1].index(tag):]
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.nodes[self.stack[depth]].tag == tag:
                 self._leave(depth)

@@ -84,3 +84,19 @@ def test_tree_building():
     assert [t for _, t in page.blocks] == ["a", "b & c", "d", "e", "f gh", "i", "j", "&am"]
     assert features(page).shape[0] == len(page.nodes)
     assert odds_of(np.zeros((2, 3)), [(1.0, np.array([[0, 0.5, 1, 2, 0], [-1, 0, 0, 0, 2.0], [-1, 0, 0, 0, -2.0]]))])[0] > 0.9
+
+
+@pytest.mark.parametrize("page, blocks", [
+    ("<p>some text <ins>added</ins> and more</p>", [("p", "some text added and more")]),
+    ("<p>a <label>b <button>c</button></label> d</p>", [("p", "a b c d")]),
+    ("<h2>a <noscript>b</noscript> c</h2><p>d</p>", [("h2", "a b c"), ("p", "d")]),
+    ("<p>a <object>b</object> <canvas>c</canvas> d <iframe>e</iframe></p>", [("p", "a b c d e")]),
+    ("<p>a <button>b<p>c</p>", [("p", "a b"), ("p", "c")]),
+    ("<div><button>a</button><p>b</p></div>", [("button", "a"), ("p", "b")]),
+    ("<ins>a <p>b <ins>c</ins> d</p></ins>", [("ins", "a"), ("p", "b c d")]),
+    ("<p>a <ins class='adsbygoogle'>buy</ins> b</p>", [("p", "a"), ("ins", "buy"), ("p", "b")]),
+    ("<p>a <ins/> b</p>", [("p", "a b")]),
+])
+def test_phrasing_stays_in_its_block(page, blocks):
+    found = Page(page)
+    assert [(found.nodes[i].tag, text) for i, text in found.blocks] == blocks
