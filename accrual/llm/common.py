@@ -6,10 +6,11 @@ import atexit
 import ctypes
 import ctypes.util
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,12 +43,23 @@ def release_memory() -> None:
 
     A worker is used again by later stages, and the C library keeps what it once had.
     """
+    pa.default_memory_pool().release_unused()
     library = ctypes.util.find_library("c")
     trim = getattr(ctypes.CDLL(library), "malloc_trim", None) if library else None
     if trim is not None:
         trim(0)
 
 
+def returning_memory(run: Callable) -> Callable:
+    """``run`` over the batches of a task, and ``release_memory`` after the last one."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release_memory()
+
+    return whole
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

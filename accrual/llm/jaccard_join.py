@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from accrual.llm.common import free_name, stored
+from accrual.llm.common import free_name, lasting, returning_memory, scratch, small, stored
 from accrual.llm.components import connected_components
 
 SKETCH_BITS = 18
@@ -266,7 +266,7 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
         F.coalesce("text", F.lit("")).alias("text"),
         F.xxhash64("text").alias("text_hash"),
     )
-    scanned = stored(texts.mapInPandas(_scan(words), SCAN_SCHEMA), "shingle-scan")
+    scanned = stored(texts.mapInPandas(returning_memory(_scan(words)), SCAN_SCHEMA), "shingle-scan")
     docs = scanned.where(F.col("bucket").isNull()).select("doc_id", "text_hash", "class", "n")
     counted = scanned.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("weight"))
     weights = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
@@ -276,7 +276,7 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
 
     kept = stored(
         texts.select("text").mapInPandas(
-            _prefixes(words, percent, weights), "class long, n long, grams array<long>"
+            returning_memory(_prefixes(words, percent, weights)), "class long, n long, grams array<long>"
         ),
         "kept-columns",
     )
@@ -302,8 +302,12 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
         .agg(F.min(F.struct("text_hash", "doc_id")).alias("_d"))
         .select("class", "_d.text_hash", F.col("_d.doc_id").alias("_id"))
     )
+    # The texts stay where they lie while the list is small.
+    chosen = small(stored(chosen, "chosen"))
     wanted = texts.join(chosen, "text_hash").where(F.col("doc_id").eqNullSafe(F.col("_id")))
-    sets = wanted.select("class", "text").mapInPandas(_sets(words), "class long, grams array<long>")
+    sets = wanted.select("class", "text").mapInPandas(
+        returning_memory(_sets(words)), "class long, grams array<long>"
+    )
     sets = stored(sets, "full-sets")
     links = _verified(pairs, sets, percent).union(
         _block_tasks(large, sets, block).applyInPandas(_multiply(percent), "a long, b long")
@@ -385,7 +389,10 @@ def jaccard_components(
     no n-grams and link with nothing; rows without ``doc_id`` take part and get the component of what
     they link with (NULL if all of it has no id). Repeated rows keep a row each.
     """
-    linked = stored(_linked(documents, percent, words, paired, block), "linked")
+    with scratch(documents.sparkSession):
+        linked = _linked(documents, percent, words, paired, block)
+        with lasting():
+            linked = stored(linked, "linked")
     smallest = (
         linked.where(F.col("component").isNotNull())
         .groupBy("component")
@@ -408,22 +415,32 @@ def drop_near_duplicates(
     The row with the smallest ``doc_id`` stays (rows without an id come last; among rows of one id the
     smaller text hash decides, among equal rows any one stays). Rows without words all stay.
     """
-    linked = _linked(documents, percent, words, paired, block)
-    name, chosen_id, chosen_hash = (free_name(documents, c) for c in ("_hash", "_id", "_kept"))
-    order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_hash")
-    kept = (
-        linked.where(F.col("component").isNotNull())
-        .groupBy("component")
-        .agg(F.min(order).alias("_k"))
-        .select(F.col("_k.doc_id").alias(chosen_id), F.col("_k.text_hash").alias(chosen_hash))
+    name, chosen_id, chosen_hash, copies = (
+        free_name(documents, c) for c in ("_hash", "_id", "_kept", "_copies")
     )
-    kept = stored(kept, "kept-documents")
+    with scratch(documents.sparkSession):
+        linked = _linked(documents, percent, words, paired, block)
+        # Rows that repeat id and text are one, with their number.
+        rows = linked.where(F.col("component").isNotNull()).groupBy("component", "doc_id", "text_hash")
+        order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_hash", "_copies")
+        kept = (
+            rows.agg(F.count(F.lit(1)).alias("_copies"))
+            .groupBy("component")
+            .agg(F.min(order).alias("_k"))
+            .select(
+                F.col("_k.doc_id").alias(chosen_id),
+                F.col("_k.text_hash").alias(chosen_hash),
+                F.col("_k._copies").alias(copies),
+            )
+        )
+        with lasting():
+            kept = small(stored(kept, "kept-documents"))
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    single = (
-        documents.where(has_words)
-        .withColumn(name, F.xxhash64("text"))
-        .dropDuplicates(["doc_id", name])
-    )
+    hashed = documents.where(has_words).withColumn(name, F.xxhash64("text"))
     same = (F.col(name) == F.col(chosen_hash)) & F.col("doc_id").cast("long").eqNullSafe(F.col(chosen_id))
-    chosen = single.join(kept, same, "left_semi").drop(name)
+    found = hashed.join(kept, same)
+    # Only rows that are there several times have to meet.
+    repeated = found.where(F.col(copies) > 1).dropDuplicates(["doc_id", name])
+    single = found.where(F.col(copies) == 1)
+    chosen = single.union(repeated).select(*documents.columns)
     return chosen.union(documents.where(~has_words))
