@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accrual.llm.common import free_name
+from accrual.llm.common import free_name, release_memory
 
 BITS = 16
 BINS = 1 << BITS
@@ -206,6 +206,7 @@ def language_of(model: Model, text: Column) -> Column:
             result.loc[known, "lang_pred"] = [model.languages[i] for i in best]
             result.loc[known, "score"] = score
             result.loc[known, "ambiguous"] = lead < AMBIGUOUS
+        release_memory()
         return result
 
     return identify(F.when(text.rlike(r"\p{L}"), letters(text)))

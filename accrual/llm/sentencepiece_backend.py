@@ -246,6 +246,9 @@ def encode_texts(
             columns = [given.column(c) for c in names]
             columns += [pa.array(out[c], type=kinds[c]) for c in made]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *made])
+        # The worker goes on to other stages; the next task builds its tokenizer anew.
+        del backend
+        _loaded.cache_clear()
         release_memory()
 
     schema = T.StructType([*(kept.schema[c] for c in names), *(T.StructField(c, t) for c, t in made.items())])
