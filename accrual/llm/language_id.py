@@ -8,7 +8,14 @@ language's codeword, weighted by how reliable the bit is for that language on th
 nearest codeword wins. Where the runner-up is almost as near, the row is flagged as ambiguous.
 
 Training needs two small aggregates: trigram counts per language and correct bits per language. Both
-come from a random sample of at most about ``per_language`` labelled rows of each language. Prediction is one pass without a shuffle, over whole texts.
+come from a sample of about ``per_language`` different texts of each label, chosen by a hash of the text:
+copies count once, and the order and files of the rows do not matter. At most ``max_languages`` labels are
+learned, those with the most texts, which bounds the model whatever a dirty label column holds.
+Prediction is one pass without a shuffle, over whole texts.
+
+A filter rejects a text if the lead of its best language is below ``AMBIGUOUS`` and also below that of all
+but a share ``DOUBTED`` of the training rows. So labels that cannot be told apart, such as two spellings of
+one language, do not empty a corpus.
 """
 
 from __future__ import annotations
@@ -16,22 +23,25 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accrual.llm.common import free_name, release_memory
+from accrual.llm.common import free_name, release_memory, scratch, stored
 
 BITS = 16
 BINS = 1 << BITS
 PER_LANGUAGE = 10_000
+MAX_LANGUAGES = 256
 SEED = 7
 UNDETERMINED = "und"
 PIECE = 1 << 18
+DRAWS = 1 << 30
 AMBIGUOUS = 0.1
+DOUBTED = 0.01
 
 
 @dataclass
@@ -41,6 +51,7 @@ class Model:
     weights: np.ndarray  # bins x bits
     scale: np.ndarray  # typical size of each bit's margin
     reliability: np.ndarray  # languages x bits, each row adds up to 1
+    doubt: float = AMBIGUOUS  # a lead below it is too small to tell the language
 
 
 def codewords(languages: int, seed: int = 7) -> np.ndarray:
@@ -126,19 +137,31 @@ def _bit_weights(counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def training_rows(
-    documents: DataFrame, text: str, lang: str, allowed: Column, per_language: int
+    documents: DataFrame,
+    text: str,
+    lang: str,
+    allowed: Column,
+    per_language: int,
+    max_languages: int = MAX_LANGUAGES,
 ) -> DataFrame:
-    """``text`` (its letters) and ``lang`` of labelled rows, about ``per_language`` of each at most.
+    """``text`` (its letters) and ``lang``: different texts of each label, about ``per_language`` at most.
 
-    Rows are drawn one by one, so copies of a row or an id cannot swell the sample.
+    Texts are drawn by their hash, so equal tables give equal samples in whatever files they lie. Of more
+    than ``max_languages`` labels those with the most texts are kept (by an estimate that does not depend
+    on the order of rows either), ties by label; the others are not learned.
     """
     usable = allowed & F.col(lang).isNotNull() & F.col(text).isNotNull()
-    labelled = documents.where(usable)
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
-    shares = {language: min(1.0, per_language / n) for language, n in counts.items()}
-    return labelled.sampleBy(lang, shares, seed=SEED).select(
-        letters(F.col(text)).alias("text"), F.col(lang).alias("lang")
+    labelled = documents.where(usable).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.lit(SEED), text).alias("_hash")
     )
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("_hash").alias("_texts"))
+    most = counts.orderBy(F.desc("_texts"), "lang").limit(max_languages).collect()
+    if not most:
+        return labelled.select(letters(F.col("text")).alias("text"), "lang").limit(0)
+    steps = {r["lang"]: math.ceil(DRAWS * min(1.0, per_language / r["_texts"])) for r in most}
+    step = F.create_map(*(F.lit(x) for pair in steps.items() for x in pair))[F.col("lang")]
+    drawn = labelled.where(F.pmod("_hash", F.lit(DRAWS)) < step)
+    return drawn.select(letters(F.col("text")).alias("text"), "lang").distinct()
 
 
 def train(rows: DataFrame) -> Model:
@@ -171,7 +194,16 @@ def train(rows: DataFrame) -> Model:
             right[languages.index(r["lang"]), r["bit"]] = (r["ok"] + 1) / (r["n"] + 2)
             sizes[r["bit"]] += r["size"] / r["n"] / len(languages)
     reliability = right / np.maximum(right.sum(axis=1, keepdims=True), 1e-9)
-    return Model(languages, codes, weights, np.maximum(np.round(sizes, 4), 1e-4), reliability)
+    model = Model(languages, codes, weights, np.maximum(np.round(sizes, 4), 1e-4), reliability)
+    if bits:
+
+        def leads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield pd.DataFrame({"lead": decode(_margins(frame["text"], weights), model)[2]})
+
+        least = rows.mapInPandas(leads, "lead double").agg(F.percentile("lead", F.lit(DOUBTED))).first()[0]
+        model = replace(model, doubt=min(AMBIGUOUS, least))
+    return model
 
 
 def decode(margins: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,26 +218,26 @@ def decode(margins: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, n
     return best, odds[np.arange(len(best)), best], lead
 
 
-FOUND = "struct<lang_pred:string,score:double,ambiguous:boolean>"
+FOUND = "struct<lang_pred:string,score:double,ambiguous:boolean,lead:double>"
 
 
 def language_of(model: Model, text: Column) -> Column:
-    """The prediction for ``text`` as a struct: ``lang_pred``, ``score`` and ``ambiguous``."""
-    unknown = F.struct(
-        F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("ambiguous")
-    )
+    """The prediction for ``text`` as a struct: ``lang_pred``, ``score``, ``ambiguous`` and ``lead``."""
+    values = {"lang_pred": UNDETERMINED, "score": 0.0, "ambiguous": False, "lead": 0.0}
+    unknown = F.struct(*(F.lit(v).alias(c) for c, v in values.items()))
     if not model.languages:
         return unknown
 
     @F.pandas_udf(FOUND)
     def identify(texts: pd.Series) -> pd.DataFrame:
         known = texts.notna().to_numpy()
-        result = pd.DataFrame({"lang_pred": UNDETERMINED, "score": 0.0, "ambiguous": False}, index=range(len(texts)))
+        result = pd.DataFrame(values, index=range(len(texts)))
         if known.any():
             best, score, lead = decode(_margins(texts[known].tolist(), model.weights), model)
             result.loc[known, "lang_pred"] = [model.languages[i] for i in best]
             result.loc[known, "score"] = score
             result.loc[known, "ambiguous"] = lead < AMBIGUOUS
+            result.loc[known, "lead"] = lead
         release_memory()
         return result
 
@@ -230,10 +262,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4 == 2
 
 
-def train_on_documents(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+def train_on_documents(
+    documents: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES
+) -> Model:
     """A model of the labelled rows that are not held out; rows without an id are not used."""
     allowed = ~held_out(F.col("doc_id"))
-    return train(training_rows(documents, "text", "lang", allowed, per_language))
+    with scratch(documents.sparkSession):
+        rows = training_rows(documents, "text", "lang", allowed, per_language, max_languages)
+        return train(stored(rows, "languages"))
 
 
 def identify_documents(documents: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
@@ -248,12 +284,14 @@ def drop_undetermined(
 ) -> DataFrame:
     """The rows of ``documents`` whose language can be told, with their columns as they were.
 
-    If no row teaches a language, nothing can be told and all rows go; ``unlabelled="keep"`` then keeps
-    those that have a letter.
+    Texts without a letter go, and so do those whose best language leads by less than the model's
+    ``doubt``, such as texts half in one language and half in another. If no row teaches a language,
+    nothing can be told and all rows go; ``unlabelled="keep"`` then keeps those that have a letter.
     """
     model = train_on_documents(documents, per_language)
     if unlabelled == "keep" and not model.languages:
         return documents.where(F.col("text").rlike(r"\p{L}"))
     name = free_name(documents, "_found")
     found = documents.withColumn(name, language_of(model, F.col("text")))
-    return found.where(F.col(name)["lang_pred"] != UNDETERMINED).drop(name)
+    told = (F.col(name)["lang_pred"] != UNDETERMINED) & (F.col(name)["lead"] >= model.doubt)
+    return found.where(told).drop(name)

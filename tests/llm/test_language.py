@@ -75,3 +75,41 @@ def test_filter_keeps_columns(known):
     assert out.columns == clashing.columns and out.count() == known.count()
     assert {(r["score"], r["_found"]) for r in out.collect()} == {(7, "x")}
     assert np.isfinite(codewords(1)).all()
+
+
+def test_sample_does_not_depend_on_files(known):
+    """Copies count once, and the same texts are drawn whatever the order and number of files."""
+    many = known.withColumn("text", F.concat("text", F.md5(F.col("doc_id").cast("string"))))
+    draw = lambda d: sorted(map(tuple, training_rows(d, "text", "lang", F.lit(True), 10).collect()))
+    one = draw(many.coalesce(1))
+    assert one == draw(many.repartition(7).union(many.orderBy(F.desc("doc_id")))) and 10 < len(one) < 55
+
+
+def test_many_labels(spark):
+    """Of 10 000 labels those with the most texts are learned, and a table of them trains at once."""
+    dirty = spark.range(10_000).selectExpr("id AS doc_id", "concat('x', id) AS text", "concat('l', id) AS lang")
+    clean = spark.range(400).selectExpr(
+        "id AS doc_id", "concat(if(id % 2 = 0, 'abba baab ', 'effe feef '), chr(97 + id % 7)) AS text",
+        "if(id % 2 = 0, 'aa', 'ee') AS lang",
+    )
+    rows = training_rows(clean.union(dirty), "text", "lang", F.lit(True), 1000, max_languages=2)
+    assert {r["lang"] for r in rows.select("lang").distinct().collect()} == {"aa", "ee"}
+    model = train(training_rows(clean.union(dirty), "text", "lang", F.lit(True), 1000))
+    assert len(model.languages) == 256 and {"aa", "ee"} <= set(model.languages)
+
+
+def test_filter_rejects_what_cannot_be_told(spark, known):
+    rows = [(i, w * 40, x) for i, (w, x) in enumerate([("abba baab ", "aa"), ("cddc dccd ", "bb")] * 150)]
+    mixed = [(1000, "abba baab " * 20 + "cddc dccd " * 20, None)]
+    docs = spark.createDataFrame(rows + mixed, known.schema)
+    kept = {r["doc_id"] for r in drop_undetermined(docs).collect()}
+    assert kept == set(range(300))
+
+
+def test_labels_that_are_the_same_language(spark, known):
+    """Every row is ambiguous between two spellings of a label; the filter still keeps nearly all."""
+    docs = spark.range(2000).selectExpr(
+        "id AS doc_id", "concat('abba baab ', repeat(chr(97 + pmod(hash(id), 20)), 3 + pmod(hash(id, 1), 30))) AS text",
+        "if(pmod(hash(id, 2), 2) = 0, 'en', 'EN') AS lang",
+    )
+    assert drop_undetermined(docs).count() > 1800
