@@ -234,18 +234,6 @@ def contamination(documents: DataFrame, benchmark: DataFrame, share: int = 20) -
     )
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame, share: int = 20) -> DataFrame:
-    """The rows of ``documents`` that are not contaminated, with their columns as they were.
-
-    The decision is joined back by ``doc_id`` (``drop_contaminated_rows`` decides per row); rows that share an id go together if any of them is
-    contaminated, and rows without an id are kept only if none such is contaminated.
-    """
-    name = free_name(documents, "_bad")
-    bad = contamination(documents, benchmark, share).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias(name)).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
-
-
 def drop_contaminated_rows(documents: DataFrame, benchmark: DataFrame, share: int = 20) -> DataFrame:
     """The rows of ``documents`` that are not contaminated themselves, with their columns as they were.
 

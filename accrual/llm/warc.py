@@ -7,8 +7,9 @@ that refers to the response and repeats only its HTTP header. The archives are w
 writer, whose line separator is the end-of-record mark, so any file system Spark knows will do; each
 file holds whole records, and files are as large as the partitions are.
 
-Reading takes each archive file apart by the lengths its headers state, checks the payloads against
-their digests, and joins revisits with the responses they refer to.
+Reading unpacks each archive file part by part and takes it apart by the lengths its headers state, so a
+task holds the packed file and one record, however much the file unpacks to. Payloads are checked against
+their digests, and revisits joined with the responses they refer to. A page of any length is one record.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrual.llm.common import new_folder, salted_join, stored
+from accrual.llm.common import BATCH_BYTES, new_folder, salted_join, stored
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF = "\r\n"
@@ -30,6 +31,7 @@ RECORD_END = CRLF * 2
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 WARC_DATE = "2024-01-01T00:00:00Z"
 RECORDS_PER_FILE = 5_000
+FED, PART = 1 << 16, 1 << 20
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -132,44 +134,83 @@ READ_SCHEMA = (
 )
 
 
-def parse_records(data: bytes) -> Iterator[dict]:
-    """The records of one archive, taken apart by their stated lengths."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split(CRLF)
+def parse_stream(parts: Iterable[bytes]) -> Iterator[dict]:
+    """The records of one archive, taken apart by their stated lengths; one record is held at a time."""
+    parts, held, at = iter(parts), bytearray(), 0
+
+    def more() -> bool:
+        part = next(parts, None)
+        held.extend(part or b"")
+        return part is not None
+
+    while held or more():
+        looked = 0
+        while (end := held.find(b"\r\n\r\n", max(0, looked - 3))) < 0:
+            looked = len(held)
+            if not more():
+                raise ValueError(f"broken WARC record at byte {at}")
+        lines = held[:end].decode("utf-8").split(CRLF)
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no WARC record at byte {at}")
         headers = dict(line.split(": ", 1) for line in lines[1:])
         start = end + 4
         stop = start + int(headers["Content-Length"])
-        block = data[start:stop]
-        if len(block) < stop - start or data[stop : stop + 4] != b"\r\n\r\n":
+        while len(held) < stop + 4 and more():
+            pass
+        if held[stop : stop + 4] != b"\r\n\r\n":
             raise ValueError(f"broken WARC record at byte {at}")
-        yield headers | {"payload": block[block.index(b"\r\n\r\n") + 4 :]}
-        at = stop + 4
+        body = held.index(b"\r\n\r\n", start) + 4
+        yield headers | {"payload": bytes(held[body:stop])}
+        del held[: stop + 4]
+        at += stop + 4
 
 
-def unpacked(content: bytes) -> bytes:
-    """All gzip members of an archive, one after another; archives often have one for each record.
+def parse_records(data: bytes) -> Iterator[dict]:
+    """The records of an archive that is there as a whole."""
+    return parse_stream([data] if data else [])
+
 
-    Zero bytes after the last member are padding. An archive that ends within a member is an error.
+def unpacked_parts(content: bytes) -> Iterator[bytes]:
+    """All gzip members of an archive, one after another, in parts of at most ``PART`` bytes.
+
+    Archives often have a member for each record. Zero bytes after the last member are padding. An
+    archive that ends within a member is an error.
     """
-    parts = []
-    while content:
+    at = 0
+    while at < len(content):
         member = zlib.decompressobj(wbits=47)
-        parts.append(member.decompress(content))
-        if not member.eof:
-            raise ValueError("the archive ends within a gzip member")
-        content = member.unused_data.lstrip(b"\x00")
-    return b"".join(parts)
+        while not member.eof:
+            given = member.unconsumed_tail
+            if not given:
+                given = content[at : at + FED]
+                at += len(given)
+            part = member.decompress(given, PART)
+            if part:
+                yield part
+            elif not given and not member.eof:
+                raise ValueError("the archive ends within a gzip member")
+        at -= len(member.unused_data)
+        while at < len(content) and content[at] == 0:
+            at += 1
+
+
+def unpacked(content: bytes) -> bytes:
+    """All of an archive's members as one."""
+    return b"".join(unpacked_parts(content))
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    made = pd.DataFrame(rows, columns=[c.split()[0] for c in READ_SCHEMA.split(", ")], dtype=object)
+    for name in ("page_id", "payload_bytes"):
+        made[name] = made[name].astype("Int64")
+    return made
 
 
 def _read(frames: Iterator[pd.DataFrame], with_payload: bool) -> Iterator[pd.DataFrame]:
+    out, held = [], 0
     for frame in frames:
         for content in frame["content"]:
-            out = []
-            for r in parse_records(unpacked(content)):
+            for r in parse_stream(unpacked_parts(content)):
                 response = r["WARC-Type"] == "response"
                 body = r["payload"]
                 out.append((
@@ -183,11 +224,11 @@ def _read(frames: Iterator[pd.DataFrame], with_payload: bool) -> Iterator[pd.Dat
                     base64.b32encode(hashlib.sha1(body).digest()).decode() if response else None,
                     body if response and with_payload else None,
                 ))
-            columns = [c.split()[0] for c in READ_SCHEMA.split(", ")]
-            made = pd.DataFrame(out, columns=columns, dtype=object)
-            for name in ("page_id", "payload_bytes"):
-                made[name] = made[name].astype("Int64")
-            yield made
+                held += len(body) if with_payload else 0
+                if held >= BATCH_BYTES or len(out) == RECORDS_PER_FILE:
+                    yield _frame(out)
+                    out, held = [], 0
+    yield _frame(out)
 
 
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:

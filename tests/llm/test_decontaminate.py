@@ -7,7 +7,7 @@ from oracle_check import compare, connect
 from corpora import documents, nothing, prepared, texts  # noqa: F401
 
 from accrual.llm import decontaminate
-from accrual.llm.decontaminate import contamination, drop_contaminated
+from accrual.llm.decontaminate import contamination, drop_contaminated_rows
 from accrual.llm.queries import OP4_SQL
 
 LONG = " ".join(f"b{i}" for i in range(30))
@@ -57,10 +57,10 @@ def test_against_brute_force(tables, monkeypatch, most):
 
 def test_filter_keeps_clean_rows_whole(tables):
     docs, benchmark = tables
-    out = drop_contaminated(docs, benchmark)
+    out = drop_contaminated_rows(docs, benchmark)
     assert out.columns == docs.columns
-    bad = {i for i, t in DOCS if brute(t)[-1]}
-    assert sorted(r["doc_id"] for r in out.collect()) == sorted(i for i, _ in DOCS if i not in bad)
+    want = [(*d, 1, "x") for d in DOCS if not brute(d[1])[-1]]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
 
 
 def test_empty_tables(tables, nothing):

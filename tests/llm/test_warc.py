@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from corpora import prepared  # noqa: F401
 
 from accrual.llm.common import hot_counts, new_folder, salted_join
-from accrual.llm.warc import deduplicate_pages, parse_records, read_archives, resolve_revisits, unpacked
+from accrual.llm.warc import (
+    deduplicate_pages, parse_records, parse_stream, read_archives, resolve_revisits, unpacked, unpacked_parts,
+)
 
 SCHEMA = "page_id long, url string, html string, extra string"
 TRICKY = "x\r\n\r\nWARC/1.1\r\n\r\ny é"
@@ -78,6 +80,24 @@ def test_archives_of_many_members(spark, tmp_path):
         unpacked(members[0][:-9])
 
 
+def test_parts_cut_anywhere():
+    """Records and members come whole however the parts fall, and a large one among small ones."""
+    record = b"WARC/1.1\r\nContent-Length: %d\r\n\r\nHTTP/1.1 200 OK\r\n\r\n%b\r\n\r\n"
+    bodies = [b"a\r\n\r\n\r", b"", b"x" * 50_000_000, b"\r\n"]
+    data = [record % (len(b) + 19, b) for b in bodies]
+    packed = b"".join(map(gzip.compress, data))
+    parts = list(unpacked_parts(packed))
+    assert max(map(len, parts)) <= 1 << 20
+    assert [r["payload"] for r in parse_stream(parts)] == bodies
+    short = data[0] + data[1] + data[3]
+    for n in (1, 2, 3, 5):
+        cut = [short[i : i + n] for i in range(0, len(short), n)]
+        assert [r["payload"] for r in parse_stream(cut)] == [bodies[0], bodies[1], bodies[3]]
+    for bad in (short[:-1], short[:-30], b"text\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(parse_stream([bad]))
+
+
 def test_resolution_keeps_rows(spark):
     assert resolve_revisits(pages(spark)).count() == len(PAGES)
 
