@@ -1,12 +1,13 @@
 """What keeps queries whole on larger tables: work per class or per place, tasks that rows fill."""
 
 import pytest
-from conftest import rows
+from conftest import TESTDATA, rows
 from pyspark.sql import functions as F
 
 from accrual import schemas
 from accrual.ml import ranking, training
 from accrual.operators import joins
+from accrual.queries import gold, model
 
 AREAS = ["heart"]
 
@@ -66,3 +67,12 @@ def test_fit_has_as_many_tasks_as_rows_fill(spark, monkeypatch, n_rows, tasks):
     cut = training.in_full_tasks(many, n_rows)
     assert cut.rdd.getNumPartitions() == tasks
     assert rows(cut) == [(i,) for i in sorted(range(n_rows), key=lambda i: repr((i,)))]
+
+
+def test_rejects_store_no_candidates(spark, monkeypatch):
+    def stored(df):
+        raise AssertionError("rejected plans need nothing stored")
+
+    monkeypatch.setattr(ranking, "durable", stored)
+    monkeypatch.setattr(gold, "durable", stored)
+    assert model.ranking_rejects(spark, str(TESTDATA / "sf0.001")).count() > 0
