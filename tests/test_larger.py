@@ -8,6 +8,7 @@ from accrual import schemas
 from accrual.ml import ranking, training
 from accrual.operators import joins
 from accrual.queries import gold, model
+from accrual.sources import landing
 
 AREAS = ["heart"]
 
@@ -76,3 +77,11 @@ def test_rejects_store_no_candidates(spark, monkeypatch):
     monkeypatch.setattr(ranking, "durable", stored)
     monkeypatch.setattr(gold, "durable", stored)
     assert model.ranking_rejects(spark, str(TESTDATA / "sf0.001")).count() > 0
+
+
+def test_landing_infers_no_schema_of_each_document(spark):
+    values = ['{"a": {"id": "x"}}', '[{"a": {"id": "y"}}]', '{"a": [{"id": "z"}]}', '"x"', "7", "null", "no", None, '{"a": {"id": ""}}']
+    topic = spark.createDataFrame([(None, v, None, 0, i) for i, v in enumerate(values)], schemas.TOPIC)
+    landed = landing.land_variants(topic, "$.a.id")
+    assert rows(landed, "nct_id", "offset") == [("x", 0)]
+    assert "schema_of_variant" not in landed._jdf.queryExecution().optimizedPlan().toString()
