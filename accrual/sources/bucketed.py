@@ -7,6 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Rows of the largest table that one bucket, and so one task of its joins, should hold.
+ROWS_PER_BUCKET = 200_000
+FEWEST_BUCKETS = 8
+
+
+def buckets_for(n_rows: int) -> int:
+    """How many buckets a layer of ``n_rows`` rows needs, so that a bucket does not grow with the layer."""
+    return max(FEWEST_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))
+
+
 @dataclass(frozen=True)
 class BucketedTable:
     """A catalogue table ``name`` with its files at ``path``, in ``buckets`` by the hash of ``keys``.

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from accrual import schemas
 from accrual.ml import ranking, training
 from accrual.operators import joins
-from accrual.queries import gold, model
-from accrual.sources import landing
+from accrual.queries import gold, growing, model
+from accrual.sources import bucketed, landing
 
 AREAS = ["heart"]
 
@@ -85,3 +85,15 @@ def test_landing_infers_no_schema_of_each_document(spark):
     landed = landing.land_variants(topic, "$.a.id")
     assert rows(landed, "nct_id", "offset") == [("x", 0)]
     assert "schema_of_variant" not in landed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_buckets_do_not_grow_with_the_layer(spark, monkeypatch):
+    assert [bucketed.buckets_for(n) for n in (0, 1_600_000, 1_600_001, 36_000_000)] == [8, 8, 9, 180]
+    monkeypatch.setattr(bucketed, "ROWS_PER_BUCKET", 500)
+    made = []
+    monkeypatch.setattr(gold.gold, "write_bucketed_gold", lambda *given: made.append(given[-1]) or given[0].limit(0))
+    monkeypatch.setattr(growing, "settled", lambda column: F.lit(0.0))
+    sf = str(TESTDATA / "sf0.001")
+    growing.bucketed_features(spark, sf)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert made == [-(-lines // 500)] and made[0] > 8
