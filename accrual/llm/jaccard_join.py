@@ -12,8 +12,10 @@ with its transpose holds all overlaps. Most of it is never formed:
 * A kept column with at most ``PAIRED`` rows gives candidate pairs. Pairs whose sizes alone rule out the
   similarity are discarded; overlaps in the kept columns are added up, and pairs with fewer than sets
   of their sizes must share there are discarded. Only what is left is counted on the full sets.
-* A longer column is cut into row blocks, and each pair of blocks is one task that multiplies the sets
-  of its documents, column block by column block, and adds up the overlaps. This is done twice: on the
+* Longer columns with mostly the same rows are one (a family), so that near copies of one text, which
+  share many columns, meet once and not once a column. A family is cut into row blocks, and each pair of
+  blocks is one task that multiplies the sets of its documents, column block by column block, and adds
+  up the overlaps. This is done twice: on the
   kept columns, to find the documents that share with another what sets of their sizes must share, and
   on the full sets of those, to find the links, of which only those come back that connect something
   new within the block pair. No pair of a frequent column is ever written.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from accrual.llm.common import free_name, lasting, returning_memory, scratch, small, stored
@@ -270,8 +272,9 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
     docs = scanned.where(F.col("bucket").isNull()).select("doc_id", "text_hash", "class", "n")
     counted = scanned.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("weight"))
     weights = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for bucket, weight in counted.toPandas().itertuples(index=False):
-        weights[int(bucket)] = weight
+    # Arrow keeps the table at 16 bytes a counter on the driver; rows would take some hundred.
+    table = counted.toArrow()
+    weights[table.column(0).to_numpy()] = table.column(1).to_numpy()
     weights = np.log2(weights + 1.0)
 
     kept = stored(
@@ -288,10 +291,10 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
     shared = stored(cells.join(columns, "gram").distinct(), "shared-columns")
 
     pairs = stored(_candidate_pairs(shared, percent, paired), "candidate-pairs")
-    large = shared.where(F.col("rows") > paired).select("gram", "class")
-    tasks = _block_tasks(large, kept.select("class", "n", "grams"), block)
+    families = stored(_families(shared.where(F.col("rows") > paired).select("gram", "class")), "families")
+    tasks = _block_tasks(families, kept.select("class", "n", "grams"), block)
     promising = stored(tasks.applyInPandas(_promising(percent), "class long"), "promising")
-    large = stored(large.join(promising.distinct(), "class"), "large-columns")
+    large = stored(families.join(promising.distinct(), "class"), "large-columns")
 
     # One document of each class that is still in question, and its full set.
     asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).union(large.select("class"))
@@ -356,27 +359,50 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(similar(overlap, F.size("_ga"), F.size("_gb"), percent)).select("a", "b")
 
 
-def _block_tasks(large: DataFrame, sets: DataFrame, block: int) -> GroupedData:
-    """The rows of longer columns, cut into blocks, with their sets, grouped by pairs of blocks.
+def _families(large: DataFrame) -> DataFrame:
+    """``family, class``: longer columns (gram, class), of which those with mostly the same rows are one.
 
-    ``large`` holds (gram, class). Of columns with the same rows, which have the same signature, one is
-    enough, and a column with one row has no pairs.
+    Columns that have the same busiest row, the one in most longer columns, may be one family. They are if
+    the pairs of all its rows are no more than the pairs that its columns have one by one; otherwise each
+    column is a family of its own. So every pair of a column meets, and never more often than before.
     """
+    busy = large.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("class")))
+    # Of columns with the same rows, which have the same signature, one is enough.
     signature = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"_s{i}") for i in range(2)]
-    columns = large.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"), *signature)
-    columns = columns.where(F.col("_n") > 1).groupBy("_n", "_s0", "_s1").agg(F.min("gram").alias("gram"))
+    columns = (
+        busy.groupBy("gram")
+        .agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct("_k", "class"))["class"].alias("_busiest"), *signature)
+        .groupBy("_n", "_busiest", "_s0", "_s1")
+        .agg(F.min("gram").alias("gram"))
+    )
+    columns = stored(columns.select("gram", "_busiest", F.col("_n").cast("double").alias("_n")), "columns")
+    rows = large.join(small(columns), "gram").select("_busiest", "class").distinct()
+    united = rows.groupBy("_busiest").agg(F.count(F.lit(1)).cast("double").alias("_rows"))
+    apart = columns.groupBy("_busiest").agg(F.sum(F.col("_n") * F.col("_n")).alias("_pairs"))
+    one = united.join(apart, "_busiest").where(F.col("_rows") * F.col("_rows") <= F.col("_pairs"))
+    named = columns.join(one.select("_busiest", F.col("_busiest").alias("_one")), "_busiest", "left")
+    named = stored(named.select("gram", F.coalesce("_one", "gram").alias("family")), "family-names")
+    return large.join(small(named), "gram").select("family", "class").distinct()
+
+
+def _block_tasks(families: DataFrame, sets: DataFrame, block: int) -> GroupedData:
+    """The rows of families, cut into blocks, with their sets, grouped by pairs of blocks.
+
+    ``families`` holds different (family, class). A family with one row has no pairs.
+    """
+    sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     blocks = F.ceil(F.col("_n") / block).cast("int")
-    placed = large.join(columns.select("gram", blocks.alias("_b")), "gram").select(
-        "gram", "class", "_b", F.pmod(F.xxhash64("class"), "_b").cast("int").alias("block")
+    placed = families.join(sizes.select("family", blocks.alias("_b")), "family").select(
+        "family", "class", "_b", F.pmod(F.xxhash64("class"), "_b").cast("int").alias("block")
     )
     sent = placed.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).select(
-        "gram",
+        "family",
         F.least("block", "_o").alias("i"),
         F.greatest("block", "_o").alias("j"),
         "block",
         "class",
     )
-    return sent.join(sets, "class").groupBy("gram", "i", "j")
+    return sent.join(sets, "class").groupBy("family", "i", "j")
 
 
 def jaccard_components(

@@ -6,7 +6,7 @@ from corpora import documents, nothing, prepared, texts  # noqa: F401
 
 from accrual.llm.components import connected_components
 from accrual.llm.jaccard_join import (
-    drop_near_duplicates, forest, jaccard_components, overlaps, prefix_length, shingle_set,
+    _block_tasks, _families, drop_near_duplicates, forest, jaccard_components, overlaps, prefix_length, shingle_set,
 )
 
 
@@ -73,3 +73,23 @@ def test_components(spark):
     nodes = [*range(41), 99, 100]
     assert sorted(tuple(r) for r in got) == [(n, 0) for n in nodes]
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_columns_with_mostly_the_same_rows_are_one(spark):
+    """Near copies share many columns; they are dealt out once, and columns with little in common stay apart."""
+    copies = [(g, c) for g in range(40) for c in range(300) if (g + c) % 40]
+    apart = [(100 + g, c) for g in range(5) for c in [-1, *range(1000 * (g + 1), 1000 * (g + 1) + 200)]]
+    large = spark.createDataFrame(copies + apart, "gram long, class long")
+    found = {}
+    for family, c in _families(large).collect():
+        assert c not in found.setdefault(family, set())
+        found[family].add(c)
+    sizes = sorted(len(rows) for rows in found.values())
+    assert sizes[:5] == [201] * 5 and sum(sizes[5:]) < 3 * 300
+    for columns in (copies, apart):
+        for gram in {g for g, _ in columns}:
+            rows = {c for g, c in columns if g == gram}
+            assert any(rows <= held for held in found.values())
+    sets = spark.range(300).select(F.col("id").alias("class"), F.lit(1).alias("n"))
+    sent = _block_tasks(_families(spark.createDataFrame(copies, "gram long, class long")), sets, 100)
+    assert sent.agg(F.count("n").alias("rows")).agg(F.sum("rows")).first()[0] <= 3 * 3 * 300
