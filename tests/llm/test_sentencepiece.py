@@ -6,7 +6,7 @@ import sentencepiece
 from corpora import documents, nothing, prepared, texts  # noqa: F401
 
 from accrual.llm.sentencepiece_backend import (
-    BYTE, CONTROL, NORMAL, UNKNOWN, build, decode_ids, encode_texts, parse_model, read_model, verify_parity,
+    BYTE, CONTROL, NORMAL, UNKNOWN, build, comes_back, decode_ids, encode_texts, parse_model, read_model, spellings, verify_parity,
 )
 
 
@@ -85,3 +85,28 @@ def test_documents_round_trip(documents, model):
 
 def test_empty(nothing, model):
     assert encode_texts(nothing, model).count() == 0
+
+
+class _Counting:
+    """A tokenizer that counts how many texts the library decodes."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.decoded = tokenizer, 0
+
+    def decode(self, ids, **options):
+        self.decoded += 1
+        return self.tokenizer.decode(ids, **options)
+
+
+def test_round_trip_without_decoding(model, texts):
+    """The same answer as the library's, which decodes only texts that do not come back."""
+    tokenizer = build(parse_model(model), own_ids=True)
+    spelled, given = spellings(tokenizer), ["", "  a", "line\nline", "mark ▁", "é😀\x00", *strings(500), *texts]
+    for text in given:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        counted = _Counting(tokenizer)
+        want = tokenizer.decode(ids, skip_special_tokens=False) == text
+        assert comes_back(text, ids, spelled, counted, True) == want
+        assert counted.decoded == (0 if want else 1)
+    assert not comes_back("é", [spelled.index(b"\xc3")], spelled, tokenizer, True)
+    assert comes_back("\ufffd", [spelled.index(b"\xc3")], spelled, tokenizer, True)
