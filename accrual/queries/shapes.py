@@ -124,23 +124,29 @@ def condition_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def study_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic of study documents, one delivery per line; repeated keys are later versions."""
-    lines = table(spark, sf_dir, "lineitem")
+    # Documents are made and parsed where the rows lie, and the joins of a small file end in one task. Lines
+    # are dealt out by the key of the first join, before they are widened; a second exchange of whole
+    # rows would be as large as all of that joins move.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines = table(spark, sf_dir, "lineitem").repartition(tasks, "l_orderkey")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"
     )
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     )
+    supplier, nation, region = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
     # Every line has its order, part and supplier. Left joins keep the lines on the streamed side
-    # of each join, however small their file is.
+    # of each join, however small their file is. Places are joined table by table, as the size of
+    # their own join is not known when the plan is made and lines would be exchanged for it.
     rows = (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "left")
         .join(part, lines["l_partkey"] == part["p_partkey"], "left")
-        .join(places(spark, sf_dir), "l_suppkey", "left")
+        .join(supplier, lines["l_suppkey"] == supplier["s_suppkey"], "left")
+        .join(nation, supplier["s_nationkey"] == nation["n_nationkey"], "left")
+        .join(region, nation["n_regionkey"] == region["r_regionkey"], "left")
+        .withColumnsRenamed({"n_name": "city", "r_name": "country"})
     )
-    # Documents are made and parsed where the rows lie, and the joins of a small file end in one task.
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartition(tasks, "l_orderkey", "l_linenumber")
     text = F.array().cast("array<string>")
     line, priority, status = F.col("l_linenumber"), F.col("o_orderpriority"), F.col("o_orderstatus")
     ordered, size = F.col("o_orderdate"), F.col("p_size").cast("string")

@@ -328,3 +328,14 @@ def test_states_of_two_loads_equal_the_whole(spark, tmp_path):
 def test_deleting_a_missing_folder_is_harmless(spark, tmp_path):
     delete(spark, f"{tmp_path}/nothing")
     assert names(spark, f"{tmp_path}/nothing") == []
+
+
+def test_lines_are_dealt_out_before_they_are_widened(spark):
+    """Study documents have one exchange by number, below the joins, and as many tasks as were asked for."""
+    made = shapes.study_topic(spark, SF)
+    plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dealt = [i for i, step in enumerate(plan) if "RepartitionByExpression" in step]
+    joins = [i for i, step in enumerate(plan) if "Join LeftOuter" in step]
+    assert len(dealt) == 1 and len(joins) == 5 and dealt[0] > max(joins)
+    wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert made.rdd.getNumPartitions() >= wanted
