@@ -283,12 +283,7 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
         ),
         "kept-columns",
     )
-    cells = kept.select("class", "n", F.explode("grams").alias("gram"))
-    columns = cells.groupBy("gram").agg(
-        F.min("class").alias("_low"), F.max("class").alias("_high"), F.count(F.lit(1)).alias("rows")
-    )
-    columns = columns.where(F.col("_low") != F.col("_high")).select("gram", "rows")
-    shared = stored(cells.join(columns, "gram").distinct(), "shared-columns")
+    shared = stored(_shared_columns(kept), "shared-columns")
 
     pairs = stored(_candidate_pairs(shared, percent, paired), "candidate-pairs")
     families = stored(_families(shared.where(F.col("rows") > paired).select("gram", "class")), "families")
@@ -321,6 +316,21 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
     )
 
 
+def _shared_columns(kept: DataFrame) -> DataFrame:
+    """``gram, class, n, rows``: the kept columns that more than one class has, and how many rows they have.
+
+    Most columns have one row. They are told where the rows of a column meet, so cells move once.
+    """
+    column = Window.partitionBy("gram")
+    cells = kept.select(F.explode("grams").alias("gram"), "class", "n").select(
+        "*",
+        F.count(F.lit(1)).over(column).alias("rows"),
+        F.min("class").over(column).alias("_low"),
+        F.max("class").over(column).alias("_high"),
+    )
+    return cells.where(F.col("_low") != F.col("_high")).select("gram", "class", "n", "rows").distinct()
+
+
 def _candidate_pairs(shared: DataFrame, percent: int, paired: int) -> DataFrame:
     """Pairs of columns with at most ``paired`` rows that share as many of them as they must.
 

@@ -6,7 +6,8 @@ from corpora import documents, nothing, prepared, texts  # noqa: F401
 
 from accrual.llm.components import connected_components
 from accrual.llm.jaccard_join import (
-    _block_tasks, _families, drop_near_duplicates, forest, jaccard_components, overlaps, prefix_length, shingle_set,
+    _block_tasks, _families, _shared_columns, drop_near_duplicates, forest, jaccard_components, overlaps, prefix_length,
+    shingle_set,
 )
 
 
@@ -93,3 +94,17 @@ def test_columns_with_mostly_the_same_rows_are_one(spark):
     sets = spark.range(300).select(F.col("id").alias("class"), F.lit(1).alias("n"))
     sent = _block_tasks(_families(spark.createDataFrame(copies, "gram long, class long")), sets, 100)
     assert sent.agg(F.count("n").alias("rows")).agg(F.sum("rows")).first()[0] <= 3 * 3 * 300
+
+
+def test_shared_columns_move_cells_once(spark):
+    """Columns of one class are left out, also where it is there twice; each cell goes through one exchange."""
+    kept = spark.createDataFrame(
+        [(1, 5, [1, 2, 3]), (2, 6, [2, 3]), (3, 7, [3, 4]), (4, 8, [5]), (4, 8, [5]), (1, 5, [1, 2, 3])],
+        "class long, n long, grams array<long>",
+    ).repartition(3)
+    shared = _shared_columns(kept)
+    want = [(2, 1, 5, 3), (2, 2, 6, 3), (3, 1, 5, 4), (3, 2, 6, 4), (3, 3, 7, 4)]
+    assert shared.columns == ["gram", "class", "n", "rows"]
+    assert sorted(tuple(r) for r in shared.collect()) == want
+    plan = _shared_columns(kept)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
