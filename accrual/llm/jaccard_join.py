@@ -17,8 +17,9 @@ with its transpose holds all overlaps. Most of it is never formed:
   blocks is one task that multiplies the sets of its documents, column block by column block, and adds
   up the overlaps. This is done twice: on the
   kept columns, to find the documents that share with another what sets of their sizes must share, and
-  on the full sets of those, to find the links, of which only those come back that connect something
-  new within the block pair. No pair of a frequent column is ever written.
+  on the full sets of those, which go only to the block pairs in which they were found, to find the links,
+  of which only those come back that connect something new within the block pair. No pair of a frequent
+  column is ever written.
 
 Full sets are made only for documents of such pairs and columns. N-grams and classes are 64-bit hashes.
 """
@@ -224,8 +225,11 @@ def _sides(frame: pd.DataFrame) -> tuple[list[pd.DataFrame], bool]:
     return [frame[frame["block"] == b] for b in (first, second)], first == second
 
 
+TASK_SCHEMA = "family long, i int, j int, block int, class long"
+
+
 def _promising(percent: int):
-    """Documents that share enough kept n-grams with another one of the task."""
+    """The rows of documents that share enough kept n-grams with another one of the task."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         (left, right), same = _sides(frame)
@@ -235,8 +239,8 @@ def _promising(percent: int):
         close = fits & (found >= _bound(a, b, percent))
         if same:
             np.fill_diagonal(close, False)
-        names = [left["class"][close.any(axis=1)], right["class"][close.any(axis=0)]]
-        return pd.DataFrame({"class": pd.concat(names).unique()})
+        found = pd.concat([left[close.any(axis=1)], right[close.any(axis=0)]])
+        return found[["family", "i", "j", "block", "class"]].drop_duplicates("class")
 
     return run
 
@@ -287,12 +291,11 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
 
     pairs = stored(_candidate_pairs(shared, percent, paired), "candidate-pairs")
     families = stored(_families(shared.where(F.col("rows") > paired).select("gram", "class")), "families")
-    tasks = _block_tasks(families, kept.select("class", "n", "grams"), block)
-    promising = stored(tasks.applyInPandas(_promising(percent), "class long"), "promising")
-    large = stored(families.join(promising.distinct(), "class"), "large-columns")
+    tasks = _block_tasks(families, _columns_of(families, shared), block)
+    promising = stored(tasks.applyInPandas(_promising(percent), TASK_SCHEMA), "promising")
 
     # One document of each class that is still in question, and its full set.
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).union(large.select("class"))
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).union(promising.select("class"))
     chosen = (
         docs.where(F.col("class").isNotNull())
         .join(asked.distinct(), "class")
@@ -308,7 +311,7 @@ def _linked(documents: DataFrame, percent: int, words: int, paired: int, block:
     )
     sets = stored(sets, "full-sets")
     links = _verified(pairs, sets, percent).union(
-        _block_tasks(large, sets, block).applyInPandas(_multiply(percent), "a long, b long")
+        _tasks(promising, sets).applyInPandas(_multiply(percent), "a long, b long")
     )
     found = connected_components(links).select(F.col("node").alias("class"), "component")
     return docs.join(found, "class", "left").withColumn(
@@ -412,9 +415,20 @@ def _block_tasks(families: DataFrame, sets: DataFrame, block: int) -> GroupedDat
         "block",
         "class",
     )
+    return _tasks(sent, sets)
+
+
+def _tasks(sent: DataFrame, sets: DataFrame) -> GroupedData:
     return sent.join(sets, "class").groupBy("family", "i", "j")
 
 
+def _columns_of(families: DataFrame, shared: DataFrame) -> DataFrame:
+    """``class, n, grams``: for each document of ``families``, the kept columns that it has in common with any
+    other. Those of one document, which are most, add nothing to an overlap."""
+    asked = shared.select("class", "n", "gram").join(families.select("class").distinct(), "class", "left_semi")
+    return asked.groupBy("class").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("gram")).alias("grams"))
+
+
 def jaccard_components(
     documents: DataFrame, percent: int = PERCENT, words: int = WORDS, paired: int = PAIRED, block: int = BLOCK
 ) -> DataFrame:

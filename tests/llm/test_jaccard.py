@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from brute import components, jaccard_links, shingles
 from pyspark.sql import functions as F
@@ -6,8 +7,8 @@ from corpora import documents, nothing, prepared, texts  # noqa: F401
 
 from accrual.llm.components import connected_components
 from accrual.llm.jaccard_join import (
-    _block_tasks, _families, _shared_columns, drop_near_duplicates, forest, jaccard_components, overlaps, prefix_length,
-    shingle_set,
+    _block_tasks, _columns_of, _families, _promising, _shared_columns, drop_near_duplicates, forest, jaccard_components,
+    overlaps, prefix_length, shingle_set,
 )
 
 
@@ -108,3 +109,19 @@ def test_shared_columns_move_cells_once(spark):
     assert sorted(tuple(r) for r in shared.collect()) == want
     plan = _shared_columns(kept)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_full_sets_go_to_the_tasks_of_their_pairs(spark):
+    """Columns of one document are not dealt out, and only rows with a partner in a block pair go there again."""
+    shared = spark.createDataFrame([(2, 1, 5, 2), (1, 1, 5, 2), (1, 2, 6, 2), (2, 9, 6, 2)], "gram long, class long, n long, rows long")
+    families = spark.createDataFrame([(7, 1), (7, 2), (8, 1)], "family long, class long")
+    got = sorted((c, n, grams) for c, n, grams in _columns_of(families, shared).collect())
+    assert got == [(1, 5, [1, 2]), (2, 6, [1])]
+    sets = {1: range(0, 14), 2: range(0, 14), 3: range(50, 64), 4: range(50, 64)}
+    blocks = {1: 0, 2: 1, 3: 0, 4: 0}
+    frame = pd.DataFrame(
+        [(7, 0, 1, blocks[c], c, 100, np.array(g, dtype=np.int64)) for c, g in sets.items()],
+        columns=["family", "i", "j", "block", "class", "n", "grams"],
+    )
+    found = _promising(90)(frame)
+    assert found.values.tolist() == [[7, 0, 1, 0, 1], [7, 0, 1, 1, 2]]
