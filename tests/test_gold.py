@@ -1,12 +1,15 @@
 import datetime
 
 import pytest
-from conftest import rows
+from conftest import TESTDATA, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from accrual import schemas
 from accrual.plans import gold
+from accrual.queries import shapes
+
+SF = str(TESTDATA / "sf0.001")
 
 TRIAL = "nct_id string, trial_velocity double, start_date date, primary_completion_date date"
 
@@ -157,3 +160,12 @@ def test_write_gold(spark, tmp_path):
     assert features.columns == [f.split()[0] for f in schemas.GOLD_TRIAL_FEATURES.split(",")]
     history = spark.read.parquet(f"{folder}/site_history")
     assert history.columns == [f.split()[0] for f in schemas.GOLD_SITE_HISTORY.split(",")]
+
+
+def test_tasks_follow_the_input(spark):
+    """Sites are dealt out by trial in as many tasks as the inputs fill; inputs of unknown size are left alone."""
+    t, s = shapes.trials(spark, SF), shapes.sites(spark, SF)
+    counts = [gold.by_trial(s, t, task_bytes).rdd.getNumPartitions() for task_bytes in (20_000, 10_000)]
+    assert 4 < counts[0] < counts[1] <= 2 * counts[0] + 1
+    assert gold.by_trial(s, t) is s
+    assert rows(gold.by_trial(s, t, 20_000)) == rows(s)
