@@ -94,18 +94,29 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus",
         "l_tax",
     )
-    return lines.join(places(spark, sf_dir), "l_suppkey", "left").select(
+    # Tables are joined one by one, nation and region first: both are small as files, so suppliers are
+    # marked by broadcast and lines stay where they lie while the supplier file is small as well.
+    supplier, nation, region = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
+    nations = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
+        "n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("country")
+    )
+    placed = lines.join(supplier, lines["l_suppkey"] == supplier["s_suppkey"], "left").join(
+        nations, supplier["s_nationkey"] == nations["n_nationkey"], "left"
+    )
+    # A supplier of no known nation has no place.
+    known = F.col("n_nationkey").isNotNull()
+    return placed.select(
         F.concat(F.lit("T"), F.col("l_orderkey").cast("string")).alias("nct_id"),
         F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), "  ")
         .when((F.col("l_returnflag") == "R") & (F.col("l_tax") == 0.0), " Unknown facility ")
-        .otherwise(F.col("s_name"))
+        .otherwise(F.when(known, F.col("s_name")))
         .alias("facility_name"),
         "city",
         F.concat(F.lit("S"), F.col("l_linenumber").cast("string")).alias("state"),
         F.when(F.col("l_tax") < 0.08, F.concat(F.lit("Z"), F.col("l_suppkey").cast("string")))
         .alias("zip"),
         "country",
-        F.col("s_acctbal").alias("latitude"),
+        F.when(known, F.col("s_acctbal")).alias("latitude"),
         F.col("l_tax").alias("longitude"),
         F.array(
             F.concat(F.lit("P"), F.col("l_partkey").cast("string")),

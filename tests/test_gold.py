@@ -169,3 +169,7 @@ def test_tasks_follow_the_input(spark):
     assert 4 < counts[0] < counts[1] <= 2 * counts[0] + 1
     assert gold.by_trial(s, t) is s
     assert rows(gold.by_trial(s, t, 20_000)) == rows(s)
+
+
+def test_lines_stay_while_places_are_small(spark):
+    assert "Exchange hashpartitioning" not in shapes.sites(spark, SF)._jdf.queryExecution().executedPlan().toString()
