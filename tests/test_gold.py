@@ -173,3 +173,16 @@ def test_tasks_follow_the_input(spark):
 
 def test_lines_stay_while_places_are_small(spark):
     assert "Exchange hashpartitioning" not in shapes.sites(spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_as_of_joins_sites_with_trials_once(world, monkeypatch):
+    t, s = world
+    plans, totals = [], gold.running_totals
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return totals(df, *args)
+
+    monkeypatch.setattr(gold, "running_totals", seen)
+    gold.as_of_stats(s, t)
+    assert plans[0].count("Join Inner") == 1
