@@ -424,9 +424,13 @@ def _tasks(sent: DataFrame, sets: DataFrame) -> GroupedData:
 
 def _columns_of(families: DataFrame, shared: DataFrame) -> DataFrame:
     """``class, n, grams``: for each document of ``families``, the kept columns that it has in common with any
-    other. Those of one document, which are most, add nothing to an overlap."""
-    asked = shared.select("class", "n", "gram").join(families.select("class").distinct(), "class", "left_semi")
-    return asked.groupBy("class").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("gram")).alias("grams"))
+    other. Those of one document, which are most, add nothing to an overlap.
+
+    Cells become one row a document before they meet the families, so what is joined are documents, not cells.
+    """
+    columns = shared.groupBy("class").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("gram")).alias("grams"))
+    # An inner join, as a semi join may be moved below the aggregate, back to the cells.
+    return columns.join(families.select("class").distinct(), "class")
 
 
 def jaccard_components(

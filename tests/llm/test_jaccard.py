@@ -125,3 +125,19 @@ def test_full_sets_go_to_the_tasks_of_their_pairs(spark):
     )
     found = _promising(90)(frame)
     assert found.values.tolist() == [[7, 0, 1, 0, 1], [7, 0, 1, 1, 2]]
+
+
+def test_documents_not_cells_meet_the_families(spark):
+    """The rows that a join makes are documents: 50 of them with 40 columns each are 50 rows, not 2000."""
+    cells = spark.range(50 * 40).selectExpr("id % 40 AS gram", "id div 40 AS class", "40L AS n", "50L AS rows")
+    families = spark.range(45).selectExpr("7L AS family", "id AS class")
+    made = _columns_of(families, cells)
+    assert sorted((r["class"], len(r["grams"])) for r in made.collect()) == [(c, 40) for c in range(45)]
+    node = made._jdf.queryExecution().optimizedPlan()
+    found = []
+    while node.children().size():
+        found.append(node.nodeName())
+        node = node.children().head()
+    # From the top down, the join lies above the aggregate that makes one row a document.
+    assert found.index("Join") < found.index("Aggregate")
+    assert "Join" not in found[found.index("Aggregate"):]
