@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import ctypes
-import ctypes.util
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -44,8 +43,7 @@ def release_memory() -> None:
     A worker is used again by later stages, and the C library keeps what it once had.
     """
     pa.default_memory_pool().release_unused()
-    library = ctypes.util.find_library("c")
-    trim = getattr(ctypes.CDLL(library), "malloc_trim", None) if library else None
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 

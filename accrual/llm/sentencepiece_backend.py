@@ -15,7 +15,7 @@ import hashlib
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +31,7 @@ SPACE = "▁"
 # Kinds of pieces and of models in the model file's format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 
 PROBES = [
     "", " ", "  two  spaces ", "Plain words, and 1234 numbers.", "\n\nlines\tand tabs\r\n",
@@ -221,7 +221,7 @@ def comes_back(text: str, ids: list[int], spelled: list[bytes], tokenizer, prefi
     return joined == text.encode() or tokenizer.decode(ids, skip_special_tokens=False) == text
 
 
-def _batches(texts: list[str]) -> Iterator[list[str]]:
+def _batches(texts: Iterable[str]) -> Iterator[list[str]]:
     """Runs of texts with about ``BATCH_CHARS`` characters, so that encodings stay small."""
     held, size = [], 0
     for text in texts:
@@ -260,10 +260,11 @@ def encode_texts(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         backend = _loaded(shipped.value)
         spelled = spellings(backend)
+        release_memory()  # what building took
         kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "round_trip": pa.bool_(), "ids": pa.list_(pa.int32())}
         for given in batches:
             out: dict[str, list] = {c: [] for c in made}
-            for batch in _batches(given.column(source).to_pylist()):
+            for batch in _batches(t.as_py() for t in given.column(source)):
                 ids = [e.ids for e in backend.encode_batch_fast(batch, add_special_tokens=False)]
                 packed = [np.array(i, dtype="<i4") for i in ids]
                 out["n_tokens"] += [len(i) for i in ids]
@@ -274,6 +275,9 @@ def encode_texts(
             columns = [given.column(c) for c in names]
             columns += [pa.array(out[c], type=kinds[c]) for c in made]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *made])
+            # The batch and its results are gone before the next one is read.
+            del given, out, columns
+            release_memory()
         # The worker goes on to other stages; the next task builds its tokenizer anew.
         del backend, spelled
         _loaded.cache_clear()

@@ -1,12 +1,14 @@
 import random
 import struct
+import subprocess
 
 import pytest
 import sentencepiece
 from corpora import documents, nothing, prepared, texts  # noqa: F401
 
+from accrual.llm.common import release_memory
 from accrual.llm.sentencepiece_backend import (
-    BYTE, CONTROL, NORMAL, UNKNOWN, build, comes_back, decode_ids, encode_texts, parse_model, read_model, spellings, verify_parity,
+    BYTE, CONTROL, NORMAL, UNKNOWN, _batches, build, comes_back, decode_ids, encode_texts, parse_model, read_model, spellings, verify_parity,
 )
 
 
@@ -110,3 +112,22 @@ def test_round_trip_without_decoding(model, texts):
         assert counted.decoded == (0 if want else 1)
     assert not comes_back("é", [spelled.index(b"\xc3")], spelled, tokenizer, True)
     assert comes_back("\ufffd", [spelled.index(b"\xc3")], spelled, tokenizer, True)
+
+
+def test_texts_are_encoded_a_few_at_a_time():
+    """Runs are made as texts are read, are far smaller than a batch of rows, and hold every text in order."""
+    texts = [str(i) * 500 for i in range(1000, 2000)]
+    read = []
+    runs = _batches(read.append(t) or t for t in texts)
+    first = next(runs)
+    assert len(read) == len(first) < 200
+    assert first + [t for run in runs for t in run] == texts
+    assert [len(run) for run in _batches(["x" * 3_000_000, "", "a"])] == [1, 2]
+
+
+def test_giving_memory_back_starts_no_process(monkeypatch):
+    def refuse(*given, **options):
+        raise AssertionError(given)
+
+    monkeypatch.setattr(subprocess, "Popen", refuse)
+    release_memory()
