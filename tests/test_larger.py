@@ -21,6 +21,25 @@ def test_pair_join_spreads_by_pairs(spark):
     assert rows(found, "k", "a", "b") == rows(left.join(right, "k"), "k", "a", "b")
 
 
+@pytest.mark.parametrize("pack", [1, 3, 64])
+def test_packed_pairs_are_those_of_the_join(spark, pack):
+    left = spark.range(300).select((F.col("id") % 7).alias("k"), (F.col("id") % 90).alias("a"))
+    left = left.unionByName(spark.createDataFrame([(None, -1), (9, -2), (3, None)], "k bigint, a bigint"))
+    right = spark.range(60).select((F.col("id") % 5).alias("k"), F.when(F.col("id") > 9, F.col("id")).alias("b"))
+    right = right.unionByName(spark.createDataFrame([(None, -1)], "k bigint, b bigint"))
+    found = joins.pair_join(left, right, ["k"], ["a"], ["b"], pack)
+    assert rows(found, "k", "a", "b") == rows(left.join(right, "k"), "k", "a", "b")
+
+
+def test_a_site_meets_many_plans_at_once(spark):
+    choices = spark.range(500).select(F.col("id").cast("string").alias("plan_id"), F.lit("Rome").alias("city"))
+    sites = spark.range(40).select(F.lit("Rome").alias("city"), F.col("id").alias("zip"))
+    found = [(r["plan_id"], r["zip"]) for r in ranking.candidates_of_plans(choices, sites).collect()]
+    assert sorted(found) == sorted((str(p), z) for p in range(500) for z in range(40))
+    # Rows of one site follow each other, so a columnar file holds its values once for all of them.
+    assert sum(x[1] != y[1] for x, y in zip(found, found[1:], strict=False)) < len(found) / 2
+
+
 def test_candidates_are_counted_without_pairs(spark):
     sites = spark.createDataFrame(
         [("IT", "Rome", 1), ("IT", "Rome", 2), ("IT", None, 3), ("FR", "Rome", 4)],
