@@ -80,6 +80,26 @@ def test_equal_plans_share_one_ranking(spark):
     assert rows(found.cold, "plan_id", "zip") == sorted((f"p{i}", "4") for i in range(0, 40, 2))
 
 
+def test_columns_of_candidates_are_made_once_per_class(spark):
+    plan = ("INTERVENTIONAL", "TREATMENT", "PHASE1", 50, None, None, None, None, ["asthma"], None)
+    plans = spark.createDataFrame([(f"p{i}", *plan) for i in range(40)], schemas.PLANS)
+    choices = spark.createDataFrame([(f"p{i}", "A") for i in range(40)], "plan_id string, city string")
+    sites = spark.createDataFrame(
+        [("X", "A", str(i), i, 1.0) for i in range(6)],
+        "country string, city string, zip string, n_trials int, avg_velocity double",
+    )
+    defaults = spark.createDataFrame([("OTHER", "ALL")], "lead_sponsor_class string, sex string")
+    given = []
+
+    def finish(ranked):
+        given.append(ranked.count())
+        return ranked.select("plan_id", "zip", F.round("predicted_velocity", 1).alias("v"))
+
+    found = ranking.rank_sites(plans, choices, sites, Counted(), defaults, None, AREAS, finish).ranked
+    assert given == [6]
+    assert rows(found) == sorted((f"p{i}", str(z), float(z)) for i in range(40) for z in range(6))
+
+
 @pytest.mark.parametrize("n_rows, tasks", [(90, 1), (100, 1), (101, 2), (1000, 10)])
 def test_fit_has_as_many_tasks_as_rows_fill(spark, monkeypatch, n_rows, tasks):
     monkeypatch.setattr(training, "ROWS_PER_TASK", 100)
