@@ -1,10 +1,13 @@
 """What keeps queries whole on larger tables: work per class or per place, tasks that rows fill."""
 
+import time
+
 import pytest
 from conftest import TESTDATA, rows
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from accrual import schemas
+from accrual import schemas, session
 from accrual.ml import ranking, training
 from accrual.operators import joins
 from accrual.queries import gold, growing, model
@@ -136,3 +139,65 @@ def test_buckets_do_not_grow_with_the_layer(spark, monkeypatch):
     growing.bucketed_features(spark, sf)
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
     assert made == [-(-lines // 500)] and made[0] > 8
+
+
+def small_features(spark):
+    data = [
+        (f"N{i}", "INTERVENTIONAL", "TREATMENT", "INDUSTRY", "ALL", f"PHASE{i % 3}", i % 50 + 5, i % 9 + 1, 12.0,
+         [f"D{i % 4}"], i % 5 == 0, float(i % 7 + 1), float(i % 11), float(i % 11 + i % 50) if i % 25 else None)
+        for i in range(200)
+    ]
+    return spark.createDataFrame(data, schemas.GOLD_TRIAL_FEATURES)
+
+
+def test_training_keeps_no_rows_of_its_own_on_disk(spark, monkeypatch):
+    kind, levels = type(spark.range(1)), []
+    persist = kind.persist
+
+    def noted(self, *level):
+        kept = persist(self, *level)
+        levels.append(kept.storageLevel)
+        return kept
+
+    monkeypatch.setattr(kind, "persist", noted)
+    area_map = spark.createDataFrame([("heart", "D1")], schemas.AREA_MAP)
+    trained = training.train(small_features(spark), area_map, AREAS, max_iter=2, max_depth=2)
+    assert [level.useDisk for level in levels] == [False]
+    found = trained.metrics.first()
+    assert (found["loaded_count"], found["dropped_count"]) == (200, 8)
+    assert trained.predictions.count() == found["test_count"] == 192 - found["train_count"]
+
+
+def test_unused_shuffle_files_are_let_go(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    session.release(spark)
+    time.sleep(2)
+    before = blocks.getAllBlocks().size()
+    moved = spark.range(10_000).repartition(7, "id").groupBy(F.col("id") % 100).count()
+    moved.write.format("noop").mode("overwrite").save()
+    assert blocks.getAllBlocks().size() > before
+    del moved
+    session.release(spark)
+    until = time.time() + 20
+    while blocks.getAllBlocks().size() > before and time.time() < until:
+        time.sleep(0.2)
+    assert blocks.getAllBlocks().size() <= before
+
+
+def test_stored_model_is_compared_on_features_and_predictions_made_once(spark, monkeypatch):
+    features, train, transform = model._features, training.train, PipelineModel.transform
+    made, asked = [], []
+    monkeypatch.setattr(model, "_models", {})
+    monkeypatch.setattr(model, "_features_of", {}, raising=False)
+    monkeypatch.setattr(model, "_features", lambda *given: made.append(given) or features(*given))
+    monkeypatch.setattr(training, "train", lambda *given: train(*given, max_iter=2, max_depth=2))
+    monkeypatch.setattr(PipelineModel, "transform", lambda self, *given: asked.append(self) or transform(self, *given))
+    found = model.model_store(spark, str(TESTDATA / "sf0.001"))
+    n = features(spark, str(TESTDATA / "sf0.001")).count()
+    assert rows(found, "step", "promoted", "served", "n_rows", "n_same") == [
+        ("first", True, "first", n, n),
+        ("much worse", False, "slightly worse", n, n),
+        ("slightly worse", True, "slightly worse", n, n),
+    ]
+    # Features: once. Predictions: of the test rows, of all rows, and of each of the three served models.
+    assert len(made) == 1 and len(asked) == 5
